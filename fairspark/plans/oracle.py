@@ -20,10 +20,38 @@ def r6(e: str) -> str:
     return f"round({e}, 6)"
 
 
+# above this many coordinates a distance is a left fold over two lists, which
+# keeps the coordinate order of the sum without a deep expression tree
+LIST_DIM = 8
+
+
+def list_dist(xs: str, cs: str) -> str:
+    return (f"list_reduce(list_transform(list_zip({xs}, {cs}), "
+            f"lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda u, v: u + v)")
+
+
 def dist(xs: Sequence[str], cs: Sequence[str]) -> str:
+    if len(xs) > LIST_DIM:
+        return list_dist("[" + ", ".join(xs) + "]", "[" + ", ".join(cs) + "]")
     return "(" + " + ".join(f"({x} - {c}) * ({x} - {c})" for x, c in zip(xs, cs)) + ")"
 
 
+class CenterRef:
+    """SQL for centre coordinates: one coordinate, or the whole vector as a list."""
+
+    def __init__(self, coord: Callable[[int, int], str], vec: Callable[[int], str] | None = None):
+        self.coord = coord
+        self._vec = vec
+
+    def __call__(self, i: int, j: int) -> str:
+        return self.coord(i, j)
+
+    def vec(self, i: int, dim: int) -> str:
+        if self._vec is not None:
+            return self._vec(i)
+        return "[" + ", ".join(self.coord(i, j) for j in range(dim)) + "]"
+
+
 # ---------------------------------------------------------------- sources
 
 LINES = r"""
@@ -71,24 +99,33 @@ cen AS (
 )"""
 
 
-def p64_center(i: int, j: int) -> str:
-    return f"(SELECT CAST(embedding[{j + 1}] AS DOUBLE) FROM cen WHERE cid = {i})"
+p64_center = CenterRef(
+    lambda i, j: f"(SELECT CAST(embedding[{j + 1}] AS DOUBLE) FROM cen WHERE cid = {i})",
+    lambda i: f"(SELECT list_transform(embedding, lambda v: CAST(v AS DOUBLE)) FROM cen WHERE cid = {i})")
 
 
-def literal_centers(centers) -> Callable[[int, int], str]:
-    return lambda i, j: lit(centers[i][j])
+def literal_centers(centers) -> CenterRef:
+    return CenterRef(lambda i, j: lit(centers[i][j]))
 
 
-def cte_centers(name: str) -> Callable[[int, int], str]:
-    return lambda i, j: f"(SELECT c{j} FROM {name} WHERE cid = {i})"
+def cte_centers(name: str, dim: int | None = None) -> CenterRef:
+    vec = None
+    if dim is not None:
+        vec = lambda i: (f"(SELECT [" + ", ".join(f"c{j}" for j in range(dim))
+                         + f"] FROM {name} WHERE cid = {i})")
+    return CenterRef(lambda i, j: f"(SELECT c{j} FROM {name} WHERE cid = {i})", vec)
 
 
 # ---------------------------------------------------------------- assignment
 
-def assign_cte(name: str, src: str, dim: int, k: int, center: Callable[[int, int], str],
+def assign_cte(name: str, src: str, dim: int, k: int, center: CenterRef,
                keep: Sequence[str] = ()) -> str:
     xs = [f"x{j}" for j in range(dim)]
-    ds = ", ".join(f"{dist(xs, [center(i, j) for j in range(dim)])} AS d{i}" for i in range(k))
+    if dim > LIST_DIM:
+        xl = "[" + ", ".join(xs) + "]"
+        ds = ", ".join(f"{list_dist(xl, center.vec(i, dim))} AS d{i}" for i in range(k))
+    else:
+        ds = ", ".join(f"{dist(xs, [center(i, j) for j in range(dim)])} AS d{i}" for i in range(k))
     least = "least(" + ", ".join(f"d{i}" for i in range(k)) + ")" if k > 1 else "d0"
     case = "CASE " + " ".join(f"WHEN d{i} = m THEN {i}" for i in range(k)) + " END"
     cols = ", ".join([*keep, *xs, "grp"])
@@ -160,7 +197,7 @@ def round_centers(name: str, dim: int) -> str:
     return f"SELECT cid, " + ", ".join(f"{r6(f'c{j}')} AS c{j}" for j in range(dim)) + f" FROM {name}"
 
 
-def fair_lloyd_sql(dim: int, k: int, first: Callable[[int, int], str], iters: int,
+def fair_lloyd_sql(dim: int, k: int, first: CenterRef, iters: int,
                    tag: str = "") -> tuple[list[str], str]:
     """Fair Lloyd steps over the ``pts`` CTE; returns (ctes, last centres CTE)."""
     ctes: list[str] = []
@@ -170,11 +207,11 @@ def fair_lloyd_sql(dim: int, k: int, first: Callable[[int, int], str], iters: in
         ctes.append(assign_cte(f"{tag}a{it}", "pts", dim, k, center))
         step, last = fair_step_ctes(f"{tag}s{it}", f"{tag}a{it}", dim, k)
         ctes += step
-        center = cte_centers(last)
+        center = cte_centers(last, dim)
     return ctes, last
 
 
-def lloyd_sql(dim: int, k: int, first: Callable[[int, int], str], iters: int,
+def lloyd_sql(dim: int, k: int, first: CenterRef, iters: int,
               tag: str = "") -> tuple[list[str], str]:
     """Standard Lloyd steps over the ``pts`` CTE; an empty centre keeps its place."""
     ctes: list[str] = []
@@ -191,7 +228,7 @@ def lloyd_sql(dim: int, k: int, first: Callable[[int, int], str], iters: int,
         ctes.append(f"{prev} AS ({kvals})")
         cols = ", ".join(f"coalesce(g.m{j}, p.c{j}) AS c{j}" for j in range(dim))
         ctes.append(f"{new} AS (SELECT p.cid, {cols} FROM {prev} p LEFT JOIN {g} g ON p.cid = g.cid)")
-        center = cte_centers(new)
+        center = cte_centers(new, dim)
         last = new
     return ctes, last
 
