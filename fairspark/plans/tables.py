@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.partitioning import spread
 from ..sources.points import points_from, points_from_array
 from ..sources.text import lines_from
 
@@ -23,8 +24,11 @@ PRICE_SCALE = 1000.0
 UNBALANCED_QTY = 10.0
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...] = ()) -> DataFrame:
+    """A test table, pruned to ``columns`` and spread over the task slots
+    (each test file is a single row group, i.e. a single scan task)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df.select(*columns) if columns else df)
 
 
 def p2_group(grouping: str) -> F.Column:
@@ -37,13 +41,14 @@ def p2_group(grouping: str) -> F.Column:
 
 def p2_points(spark: SparkSession, sf_dir: str, grouping: str = "unbalanced",
               keep: tuple[str, ...] = ()) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem",
+               ("l_quantity", "l_extendedprice", "l_linestatus", *keep))
     return points_from(li, [F.col("l_quantity"), F.col("l_extendedprice") / F.lit(PRICE_SCALE)],
                        p2_group(grouping), keep=keep)
 
 
 def p64_points(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    emb = table(spark, sf_dir, "embeddings")
+    emb = table(spark, sf_dir, "embeddings", ("embedding", "label", *keep))
     grp = F.when(F.col("label") % 2 == 0, "A").otherwise("B")
     return points_from_array(emb, "embedding", grp, keep=keep)
 
@@ -59,4 +64,5 @@ def p64_centers(spark: SparkSession, sf_dir: str) -> list[tuple[float, ...]]:
 
 def doc_lines(spark: SparkSession, sf_dir: str, keep_line_no: bool = True) -> DataFrame:
     """``(doc_id, line_no, value)`` for every line of every document."""
-    return lines_from(table(spark, sf_dir, "documents"), "text", ["doc_id"], keep_line_no)
+    return lines_from(table(spark, sf_dir, "documents", ("doc_id", "text")), "text", ["doc_id"],
+                      keep_line_no)

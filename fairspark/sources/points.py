@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import as_col
+from .partitioning import spread
 
 # fixed values: the two canonical group labels
 GROUP_A = "A"
@@ -93,8 +94,11 @@ def points_from_array(df: DataFrame, array_col: str | Column, group: str | Colum
 
 
 def persist_points(points: DataFrame) -> DataFrame:
-    """Keep points for iterative use; blocks lost with an executor are rebuilt from the scan."""
-    return points.persist(StorageLevel.MEMORY_AND_DISK)
+    """Keep points for iterative use, spread over the task slots.
+
+    Blocks lost with an executor are rebuilt from the scan by lineage.
+    """
+    return spread(points).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def group_counts(points: DataFrame) -> DataFrame:
