@@ -18,15 +18,18 @@ from .geometry import as_col
 
 # fixed values: line terminators of a text-file reader, and the token separator
 LINE_BREAK = r"\r\n|\r|\n"
-FINAL_BREAK = r"(\r\n|\r|\n)\z"
 TOKEN_SEPARATOR = " "
 
 
 def line_array(text: str | Column) -> Column:
     """array<string> of the lines of a text value."""
     t = as_col(text)
-    body = F.regexp_replace(t, FINAL_BREAK, "")
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
+    parts = F.split(t, LINE_BREAK)
+    # a final terminator leaves one empty last piece: drop it
+    ends_with_break = F.substring(t, -1, 1).isin("\n", "\r")
+    return (F.when(t == "", F.array().cast("array<string>"))
+            .when(ends_with_break, F.slice(parts, 1, F.size(parts) - 1))
+            .otherwise(parts))
 
 
 def tokens(line: str | Column) -> Column:

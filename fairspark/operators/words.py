@@ -33,7 +33,10 @@ def num_docs(lines: DataFrame) -> DataFrame:
 
 
 def _words(lines: DataFrame, id_cols: Sequence[str], col: str = "value") -> DataFrame:
-    return lines.select(*id_cols, F.explode(tokens(F.col(col))).alias("word"))
+    # outer explode + null filter: an inner explode would make Catalyst add a
+    # ``size(tokens) > 0`` filter that splits every line a second time
+    return (lines.select(*id_cols, F.explode_outer(tokens(F.col(col))).alias("word"))
+            .filter(F.col("word").isNotNull()))
 
 
 def per_doc_counts(lines: DataFrame, id_cols: Sequence[str] = ("doc_id", "line_no"),
@@ -63,7 +66,7 @@ def word_counts(lines: DataFrame, mode: str = "one_round", salts: int | None = N
         first = _words(lines, (), col).groupBy(F.spark_partition_id().alias("part"), "word").agg(one)
     else:
         keys = list(id_cols) if id_cols else [col]
-        w = lines.select(*keys, F.explode(tokens(F.col(col))).alias("word"))
+        w = _words(lines, keys, col)
         if mode == "salted":
             first = w.withColumn("salt", _salt(keys, salts)).groupBy("salt", "word").agg(one)
         else:

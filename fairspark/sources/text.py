@@ -25,7 +25,11 @@ def lines_from(df: DataFrame, text_col: str = "text", id_cols: Sequence[str] = (
 
     ``line_no`` starts at 0.  Null texts have no lines.
     """
+    # An inner explode makes Catalyst add ``size(lines) > 0`` below it, which
+    # splits every text twice; the outer form plus a null filter does not.
     src = df.select(*id_cols, line_array(F.col(text_col)).alias("_lines"))
     if keep_line_no:
-        return src.select(*id_cols, F.posexplode("_lines").alias("line_no", "value"))
-    return src.select(*id_cols, F.explode("_lines").alias("value"))
+        out = src.select(*id_cols, F.posexplode_outer("_lines").alias("line_no", "value"))
+    else:
+        out = src.select(*id_cols, F.explode_outer("_lines").alias("value"))
+    return out.filter(F.col("value").isNotNull())
