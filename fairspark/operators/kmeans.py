@@ -12,6 +12,8 @@ from .objective import assign
 INIT_MODE = "k-means||"
 SEED = 1
 TOL = 1e-4
+# beyond this dimension the per-coordinate means are a long aggregation
+WIDE_DIM_LIMIT = 48
 
 
 def kmeans_centers(points: DataFrame, k: int, max_iter: int, tol: float = TOL,
@@ -40,10 +42,20 @@ def lloyd_step(points: DataFrame, centers: Centers) -> list[tuple[float, ...]]:
     """One Lloyd step: each centre moves to the mean of its points; an empty one stays."""
     dim = len(centers[0])
     f = F.col("features")
+    out = [tuple(float(v) for v in c) for c in centers]
+    if dim > WIDE_DIM_LIMIT:
+        # long form: the generated code does not grow with d
+        rows = (assign(points, centers).select("cid", F.posexplode("features").alias("j", "v"))
+                .groupBy("cid", "j").agg(F.avg("v").alias("m")).collect())  # K x d rows
+        means: dict[int, list[float]] = {}
+        for r in rows:
+            means.setdefault(r["cid"], [0.0] * dim)[r["j"]] = float(r["m"])
+        for cid, m in means.items():
+            out[cid] = tuple(m)
+        return out
     rows = (assign(points, centers).groupBy("cid")
             .agg(*[F.avg(f[j]).alias(f"m{j}") for j in range(dim)])
             .collect())  # at most K rows
-    out = [tuple(float(v) for v in c) for c in centers]
     for r in rows:
         out[r["cid"]] = tuple(float(r[f"m{j}"]) for j in range(dim))
     return out
