@@ -56,7 +56,7 @@ class CenterRef:
 
 LINES = r"""
 lines AS (
-  SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line_no, unnest(ls) AS value
+  SELECT doc_id, CAST(generate_subscripts(ls, 1) - 1 AS INTEGER) AS line_no, unnest(ls) AS value
   FROM (SELECT doc_id,
                CASE WHEN text = '' THEN []::VARCHAR[]
                     ELSE regexp_split_to_array(regexp_replace(text, '(\r\n|\r|\n)\z', ''),
@@ -307,15 +307,15 @@ def oracle_sql() -> dict[str, str]:
     cvals = " UNION ALL ".join(
         f"SELECT {i} AS cid, '{','.join(f'{v:.6f}' for v in c)}' AS center" for i, c in enumerate(six))
     out["center_stats"] = with_(_p2_assigned(six), "") + (
-        f"SELECT c.cid, c.center, coalesce(sum(CASE WHEN a.grp = 'A' THEN 1 ELSE 0 END), 0) AS n_a, "
-        f"coalesce(sum(CASE WHEN a.grp = 'B' THEN 1 ELSE 0 END), 0) AS n_b "
+        f"SELECT c.cid, c.center, count(a.grp) FILTER (WHERE a.grp = 'A') AS n_a, "
+        f"count(a.grp) FILTER (WHERE a.grp = 'B') AS n_b "
         f"FROM ({cvals}) c LEFT JOIN a ON a.cid = c.cid GROUP BY c.cid, c.center")
     out["cluster_group_counts"] = assigned + (
         "SELECT cid, count(*) FILTER (WHERE grp = 'A') AS n_a, count(*) FILTER (WHERE grp = 'B') AS n_b "
         "FROM a GROUP BY cid")
     out["evaluate_balanced"] = with_(_p2_assigned(grouping="balanced"), "") + (
-        f"SELECT sum(n) AS n, sum(CASE WHEN grp = 'A' THEN n ELSE 0 END) AS n_a, "
-        f"sum(CASE WHEN grp = 'B' THEN n ELSE 0 END) AS n_b, {r6('sum(s) / sum(n)')} AS delta, "
+        f"SELECT CAST(sum(n) AS BIGINT) AS n, CAST(sum(CASE WHEN grp = 'A' THEN n ELSE 0 END) AS BIGINT) AS n_a, "
+        f"CAST(sum(CASE WHEN grp = 'B' THEN n ELSE 0 END) AS BIGINT) AS n_b, {r6('sum(s) / sum(n)')} AS delta, "
         f"{r6('max(s / n)')} AS phi FROM (SELECT grp, count(*) AS n, sum(d2) AS s FROM a GROUP BY grp)")
     out["cluster_group_sums"] = assigned + (
         "SELECT cid, grp, count(*) AS n, round(sum(x0), 4) AS sum_x, round(sum(x1), 4) AS sum_y "
