@@ -8,11 +8,10 @@ only shuffle carries a few rows per task whatever the data size or skew.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.geometry import Centers, nearest, sqdist
 from ..sources.points import GROUP_A, GROUP_B
@@ -61,11 +60,20 @@ def cluster_group_counts(points: DataFrame, centers: Centers) -> DataFrame:
                  F.count_if(F.col("grp") == GROUP_B).alias("n_b")))
 
 
+def literal_rows(spark, rows: Sequence[Sequence], names: Sequence[str], types: Sequence[str]) -> DataFrame:
+    """A small DataFrame built from literals on the JVM side (no Python RDD)."""
+    def val(v, t):
+        if isinstance(v, (list, tuple)):
+            return F.array(*[F.lit(float(x)) for x in v]).cast(t)
+        return F.lit(v).cast(t)
+    structs = [F.struct(*[val(v, t).alias(n) for v, n, t in zip(r, names, types)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def centers_frame(spark, centers: Centers) -> DataFrame:
     """``(cid, center array<double>)`` from a driver-side centre list (K rows)."""
-    schema = T.StructType([T.StructField("cid", T.IntegerType()),
-                           T.StructField("center", T.ArrayType(T.DoubleType()))])
-    return spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(centers)], schema)
+    return literal_rows(spark, [(i, [float(v) for v in c]) for i, c in enumerate(centers)],
+                        ["cid", "center"], ["int", "array<double>"])
 
 
 def center_text(center_col: str = "center", decimals: int = 6) -> F.Column:

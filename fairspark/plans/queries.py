@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import fair, kmeans, objective, words
 from ..sources.points import group_counts, parse_points
@@ -26,17 +25,16 @@ def r6(c) -> F.Column:
 
 def _centers_df(spark: SparkSession, centers, prefix: str = "c") -> DataFrame:
     dim = len(centers[0])
-    schema = T.StructType([T.StructField("cid", T.IntegerType())]
-                          + [T.StructField(f"{prefix}{j}", T.DoubleType()) for j in range(dim)])
-    df = spark.createDataFrame([(i, *[float(v) for v in c]) for i, c in enumerate(centers)], schema)
+    names = ["cid"] + [f"{prefix}{j}" for j in range(dim)]
+    df = objective.literal_rows(spark, [(i, *[float(v) for v in c]) for i, c in enumerate(centers)],
+                                names, ["int"] + ["double"] * dim)
     return df.select("cid", *[r6(f"{prefix}{j}").alias(f"{prefix}{j}") for j in range(dim)])
 
 
 def _centers_long(spark: SparkSession, centers) -> DataFrame:
-    schema = T.StructType([T.StructField("cid", T.IntegerType()), T.StructField("j", T.IntegerType()),
-                           T.StructField("value", T.DoubleType())])
     rows = [(i, j, float(v)) for i, c in enumerate(centers) for j, v in enumerate(c)]
-    return spark.createDataFrame(rows, schema).select("cid", "j", r6("value").alias("value"))
+    df = objective.literal_rows(spark, rows, ["cid", "j", "value"], ["int", "int", "double"])
+    return df.select("cid", "j", r6("value").alias("value"))
 
 
 # ---------------------------------------------------------------- text
