@@ -18,7 +18,7 @@ def close(a, b, tol=1e-9):
 
 
 @pytest.fixture(scope="module")
-def uber(spark, points_file):
+def labelled(spark, points_file):
     return load_points(spark, points_file, 2).cache()
 
 
@@ -26,31 +26,31 @@ def _means(spark, pts, cs):
     return {r["grp"]: r["mean_cost"] for r in objective.group_mean_costs(pts, cs).collect()}
 
 
-def test_objectives_golden(spark, uber):
-    r = objective.evaluate(uber, C0).head()
+def test_objectives_golden(spark, labelled):
+    r = objective.evaluate(labelled, C0).head()
     assert (r["n"], r["n_a"], r["n_b"]) == (1012, 782, 230)
     assert r["delta"] == pytest.approx(0.0020373476778656, rel=1e-12)
     assert r["phi"] == pytest.approx(0.0026388332608695, rel=1e-12)
-    m = _means(spark, uber, C0)
+    m = _means(spark, labelled, C0)
     assert m["A"] == pytest.approx(0.0018604401534527, rel=1e-12)
-    assert objective.standard_objective(uber, C0).head()[0] == pytest.approx(r["delta"], rel=1e-14)
-    assert objective.fair_objective(uber, C0).head()[0] == pytest.approx(r["phi"], rel=1e-14)
+    assert objective.standard_objective(labelled, C0).head()[0] == pytest.approx(r["delta"], rel=1e-14)
+    assert objective.fair_objective(labelled, C0).head()[0] == pytest.approx(r["phi"], rel=1e-14)
 
 
-def test_center_stats_golden(spark, uber):
-    rows = objective.center_stats(uber, C0).collect()
+def test_center_stats_golden(spark, labelled):
+    rows = objective.center_stats(labelled, C0).collect()
     assert [r["n_a"] for r in rows] == [749, 22, 1, 10]
     assert [r["n_b"] for r in rows] == [209, 14, 1, 6]
     assert rows[0]["center"] == "40.750000,-73.980000"
 
 
-def test_center_stats_empty_center_has_zero_counts(spark, uber):
-    rows = objective.center_stats(uber, [*C0, (41.5, -73.0)]).collect()
+def test_center_stats_empty_center_has_zero_counts(spark, labelled):
+    rows = objective.center_stats(labelled, [*C0, (41.5, -73.0)]).collect()
     assert (rows[4]["n_a"], rows[4]["n_b"]) == (0, 0)
 
 
-def test_fair_params_golden(spark, uber):
-    stats = fair.cluster_group_stats(objective.assign(uber, C0), 2)
+def test_fair_params_golden(spark, labelled):
+    stats = fair.cluster_group_stats(objective.assign(labelled, C0), 2)
     params = {r["cid"]: r for r in fair.fair_params(stats).collect()}
     for cid, ell in enumerate([0.026826897, 0.000433498, 0.018461853, 0.014122479]):
         assert params[cid]["ell"] == pytest.approx(ell, abs=1e-9)
@@ -63,35 +63,35 @@ def test_fair_params_golden(spark, uber):
     assert xs == pytest.approx([0.021767725, 0.000393406, 0.017337464, 0.012744901], abs=1e-9)
 
 
-def test_fair_step_golden_both_paths(spark, uber):
-    driver = fair.fair_lloyd(uber, init_centers=C0, max_iter=1)
+def test_fair_step_golden_both_paths(spark, labelled):
+    driver = fair.fair_lloyd(labelled, init_centers=C0, max_iter=1)
     assert close(driver, FAIR_1, 1e-12)
-    params = fair.fair_params(fair.cluster_group_stats(objective.assign(uber, C0), 2))
+    params = fair.fair_params(fair.cluster_group_stats(objective.assign(labelled, C0), 2))
     frame = {r["cid"]: tuple(r["center"]) for r in
              fair.fair_centers(params, fair.line_search(params)).collect()}
     assert close([frame[i] for i in range(4)], FAIR_1, 1e-12)
-    m = _means(spark, uber, driver)
+    m = _means(spark, labelled, driver)
     assert m["A"] == pytest.approx(0.002275743358998, rel=1e-10)
     assert m["B"] == pytest.approx(0.002274518820104, rel=1e-10)
-    assert close(fair.fair_lloyd(uber, init_centers=C0, max_iter=5), FAIR_1, 1e-12)
+    assert close(fair.fair_lloyd(labelled, init_centers=C0, max_iter=5), FAIR_1, 1e-12)
 
 
-def test_standard_lloyd_golden(spark, uber):
-    cs = kmeans.lloyd(uber, C0, 2, tol=0.0)
+def test_standard_lloyd_golden(spark, labelled):
+    cs = kmeans.lloyd(labelled, C0, 2, tol=0.0)
     assert close(cs, STD_2, 1e-12)
-    r = objective.evaluate(uber, cs).head()
+    r = objective.evaluate(labelled, cs).head()
     assert r["delta"] == pytest.approx(0.0020346814127193, rel=1e-10)
 
 
-def test_empty_center_repair_golden(spark, uber):
+def test_empty_center_repair_golden(spark, labelled):
     cs = [*C0, (41.5, -73.0)]
-    assigned = objective.assign(uber, cs)
+    assigned = objective.assign(labelled, cs)
     repaired = fair.repair_empty(assigned, cs, {0, 1, 2, 3})
     counts = {r["cid"]: (r["n_a"], r["n_b"]) for r in
               repaired.groupBy("cid").agg(F.count_if(F.col("grp") == "A").alias("n_a"),
                                           F.count_if(F.col("grp") == "B").alias("n_b")).collect()}
     assert [counts[i] for i in range(5)] == [(749, 209), (22, 14), (1, 0), (10, 6), (0, 1)]
-    out = fair.fair_lloyd(uber, init_centers=cs, max_iter=1)
+    out = fair.fair_lloyd(labelled, init_centers=cs, max_iter=1)
     assert close([out[0], out[1], out[3]], [FAIR_1[0], FAIR_1[1], FAIR_1[3]], 1e-12)
     assert close([out[2], out[4]], [(40.7829, -73.4372), (40.7757, -73.4202)], 1e-12)
 
@@ -160,12 +160,12 @@ def test_properties_on_table_points(spark):
     pts.unpersist()
 
 
-def test_kmeans_ml(spark, uber):
-    cs = kmeans.kmeans_centers(uber, 4, 20)
+def test_kmeans_ml(spark, labelled):
+    cs = kmeans.kmeans_centers(labelled, 4, 20)
     assert len(cs) == 4 and all(len(c) == 2 for c in cs)
-    init = kmeans.kmeans_centers(uber, 4, 0)
+    init = kmeans.kmeans_centers(labelled, 4, 0)
     assert len(init) == 4
-    d_trained = objective.evaluate(uber, cs).head()["delta"]
-    d_init = objective.evaluate(uber, init).head()["delta"]
+    d_trained = objective.evaluate(labelled, cs).head()["delta"]
+    d_init = objective.evaluate(labelled, init).head()["delta"]
     assert d_trained <= d_init + 1e-12
     assert math.isfinite(d_trained)
