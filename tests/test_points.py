@@ -67,3 +67,13 @@ def test_synth_independent_of_partitioning(spark):
     parts = [sorted(tuple(r) for r in synth_points(spark, 500, 5, 7, partitions=p).collect())
              for p in (1, 4, 8)]
     assert parts[0] == parts[1] == parts[2]
+
+
+def test_load_points_from_file(spark, tmp_path):
+    from fairspark.sources.points import load_points
+    p = tmp_path / "pts.csv"
+    p.write_text("1.0,2.0,A\n3.5,-1.0,B\n0,0,A\n")
+    pts = load_points(spark, str(p), 2, partitions=3)
+    assert pts.rdd.getNumPartitions() == 3
+    assert sorted((tuple(r["features"]), r["grp"]) for r in pts.collect()) == [
+        ((0.0, 0.0), "A"), ((1.0, 2.0), "A"), ((3.5, -1.0), "B")]
