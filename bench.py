@@ -48,8 +48,12 @@ def main() -> None:
     timed("phi_standard_centers", lambda: objective.fair_objective(pts, std).collect())
     timed("phi_fair_centers", lambda: objective.fair_objective(pts, fc).collect())
     # clustering evaluation program: counts, delta, phi and per-centre statistics
-    timed("evaluate", lambda: (objective.evaluate(pts, std).collect(),
-                               objective.center_stats(pts, std).collect()))
+    def evaluate():
+        summary, stats, cached = objective.report(pts, std)
+        out = summary.collect(), stats.collect()
+        cached.unpersist()
+        return out
+    timed("evaluate", evaluate)
     timed("fair_lloyd_fixed_2", lambda: fair.fair_lloyd(pts, init_centers=tables.P2_CENTERS,
                                                         max_iter=2, persist=False))
     pts.unpersist()

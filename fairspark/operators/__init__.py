@@ -4,7 +4,7 @@ from .fair import (cluster_group_stats, fair_centers, fair_lloyd, fair_params, f
 from .kmeans import kmeans_centers, lloyd, lloyd_step
 from .objective import (assign, center_stats, cluster_costs, cluster_group_counts, compare,
                         evaluate, fair_objective, group_mean_costs, point_distances,
-                        standard_objective)
+                        report, standard_objective)
 from .words import avg_word_length, distinct_words, num_docs, per_doc_counts, word_counts
 
 __all__ = [
@@ -12,6 +12,6 @@ __all__ = [
     "cluster_group_stats", "fair_centers", "fair_lloyd", "fair_params", "fair_step", "fixed_costs",
     "line_search", "repair_empty", "kmeans_centers", "lloyd", "lloyd_step", "assign",
     "center_stats", "cluster_costs", "cluster_group_counts", "compare", "evaluate",
-    "fair_objective", "group_mean_costs", "point_distances", "standard_objective",
+    "fair_objective", "group_mean_costs", "point_distances", "report", "standard_objective",
     "avg_word_length", "distinct_words", "num_docs", "per_doc_counts", "word_counts",
 ]

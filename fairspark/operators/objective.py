@@ -82,22 +82,20 @@ def center_text(center_col: str = "center", decimals: int = 6) -> F.Column:
     return F.array_join(F.transform(F.col(center_col), lambda c: F.format_string(fmt, c)), ",")
 
 
-def center_stats(points: DataFrame, centers: Centers) -> DataFrame:
-    """``(cid, center, n_a, n_b)`` in centre order; a centre without points has zero counts."""
-    counts = cluster_group_counts(points, centers)
-    cs = centers_frame(points.sparkSession, centers)
-    # both sides have at most K rows
-    return (cs.join(F.broadcast(counts), "cid", "left")
+def _stats_from_costs(spark, costs: DataFrame, centers: Centers) -> DataFrame:
+    counts = costs.groupBy("cid").agg(
+        F.sum(F.when(F.col("grp") == GROUP_A, F.col("n")).otherwise(0)).alias("n_a"),
+        F.sum(F.when(F.col("grp") == GROUP_B, F.col("n")).otherwise(0)).alias("n_b"))
+    # both sides have at most K rows (cid ranges over the centre list)
+    return (centers_frame(spark, centers).join(F.broadcast(counts), "cid", "left")
             .select("cid", center_text().alias("center"),
                     F.coalesce("n_a", F.lit(0)).cast("long").alias("n_a"),
                     F.coalesce("n_b", F.lit(0)).cast("long").alias("n_b"))
             .orderBy("cid"))
 
 
-def evaluate(points: DataFrame, centers: Centers) -> DataFrame:
-    """``(n, n_a, n_b, delta, phi)`` from one pass over the points."""
-    g = cluster_costs(points, centers).groupBy("grp").agg(
-        F.sum("n").alias("n"), F.sum("cost").alias("cost"))
+def _summary_from_costs(costs: DataFrame) -> DataFrame:
+    g = costs.groupBy("grp").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"))
     return g.agg(
         F.sum("n").alias("n"),
         F.sum(F.when(F.col("grp") == GROUP_A, F.col("n")).otherwise(0)).alias("n_a"),
@@ -107,6 +105,26 @@ def evaluate(points: DataFrame, centers: Centers) -> DataFrame:
     )
 
 
+def center_stats(points: DataFrame, centers: Centers) -> DataFrame:
+    """``(cid, center, n_a, n_b)`` in centre order; a centre without points has zero counts."""
+    return _stats_from_costs(points.sparkSession, cluster_costs(points, centers), centers)
+
+
+def evaluate(points: DataFrame, centers: Centers) -> DataFrame:
+    """``(n, n_a, n_b, delta, phi)`` from one pass over the points."""
+    return _summary_from_costs(cluster_costs(points, centers))
+
+
+def report(points: DataFrame, centers: Centers) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Summary ``(n, n_a, n_b, delta, phi)`` and centre statistics from one pass.
+
+    Both derive from the at most 2 K (centre, group) rows, kept in memory; the
+    third item is that cached frame, to ``unpersist`` when done.
+    """
+    costs = cluster_costs(points, centers).persist()
+    return _summary_from_costs(costs), _stats_from_costs(points.sparkSession, costs, centers), costs
+
+
 def compare(points: DataFrame, models: Mapping[str, Centers]) -> DataFrame:
     """``(model, delta, phi)`` for several centre sets, from one pass over the points."""
     names = list(models)

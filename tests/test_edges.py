@@ -92,3 +92,14 @@ def test_driver_and_frame_solves_agree_on_tables(spark):
     frame = {r["cid"]: tuple(r["center"]) for r in fair.fair_centers(params, fair.line_search(params)).collect()}
     for cid, c in frame.items():
         assert driver[cid] == pytest.approx(c, abs=1e-10)
+
+
+def test_report_matches_separate_operators(spark):
+    pts = tables.p2_points(spark, SF, "balanced")
+    cs = [*tables.P2_CENTERS, tables.P2_FAR_CENTER]
+    summary, stats, cached = objective.report(pts, cs)
+    try:
+        assert summary.collect() == objective.evaluate(pts, cs).collect()
+        assert stats.collect() == objective.center_stats(pts, cs).collect()
+    finally:
+        cached.unpersist()
