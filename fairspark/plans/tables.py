@@ -58,7 +58,7 @@ def p64_centers(spark: SparkSession, sf_dir: str) -> list[tuple[float, ...]]:
     emb = table(spark, sf_dir, "embeddings")
     rows = (emb.groupBy("label")
             .agg(F.min_by("embedding", "vec_id").alias("e"))
-            .orderBy("label").collect())
+            .orderBy("label").collect())  # one row per label: the K centres
     return [tuple(float(v) for v in r["e"]) for r in rows]
 
 

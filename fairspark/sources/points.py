@@ -52,13 +52,16 @@ def parse_points(lines: DataFrame, dim: int, group_a: str = GROUP_A, group_b: st
     fields = F.split(F.col(col), ",")
     raw = F.slice(fields, 1, dim)
     label = F.element_at(fields, -1)
+    # try_cast + an explicit check fails the same way whatever the ANSI setting
+    feats = F.transform(raw, lambda s: s.try_cast("double"))
     if on_bad == "fail":
-        feats = F.transform(raw, lambda s: s.cast("double"))
-        checked = F.when(F.size(fields) == dim + 1, feats).otherwise(
-            F.raise_error(F.concat(F.lit(f"expected {dim + 1} fields: "), F.col(col))))
+        checked = (F.when(F.size(fields) != dim + 1,
+                          F.raise_error(F.concat(F.lit(f"expected {dim + 1} fields: "), F.col(col))))
+                   .when(F.exists(feats, lambda x: x.isNull()),
+                         F.raise_error(F.concat(F.lit("malformed number: "), F.col(col))))
+                   .otherwise(feats))
         return lines.select(checked.alias("features"),
                             _canonical_group(label, group_a, group_b).alias("grp"))
-    feats = F.transform(raw, lambda s: s.try_cast("double"))
     ok = ((F.size(fields) == dim + 1)
           & F.forall(feats, lambda x: x.isNotNull())
           & label.isin(group_a, group_b))

@@ -77,3 +77,12 @@ def test_load_points_from_file(spark, tmp_path):
     assert pts.rdd.getNumPartitions() == 3
     assert sorted((tuple(r["features"]), r["grp"]) for r in pts.collect()) == [
         ((0.0, 0.0), "A"), ((1.0, 2.0), "A"), ((3.5, -1.0), "B")]
+
+
+def test_parse_fails_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(PySparkException):
+            parse_points(_lines(spark, ["1,2,A", "1,x,B"]), 2).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
