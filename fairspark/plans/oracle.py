@@ -318,7 +318,7 @@ def oracle_sql() -> dict[str, str]:
         f"CAST(sum(CASE WHEN grp = 'B' THEN n ELSE 0 END) AS BIGINT) AS n_b, {r6('sum(s) / sum(n)')} AS delta, "
         f"{r6('max(s / n)')} AS phi FROM (SELECT grp, count(*) AS n, sum(d2) AS s FROM a GROUP BY grp)")
     out["cluster_group_sums"] = assigned + (
-        "SELECT cid, grp, count(*) AS n, round(sum(x0), 4) AS sum_x, round(sum(x1), 4) AS sum_y "
+        "SELECT cid, grp, count(*) AS n, round(sum(x0), 6) AS sum_x, round(sum(x1), 6) AS sum_y "
         "FROM a GROUP BY cid, grp")
     step_ctes, last = _one_step()
     step = with_(step_ctes, "")

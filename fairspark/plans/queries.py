@@ -1,7 +1,7 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
 
-Computed doubles are rounded (6 places; raw coordinate sums 4) so that an
-oracle summing in another order gives the same values.
+Computed doubles are rounded to 6 places so that an oracle summing in another
+order gives the same values.
 """
 
 from __future__ import annotations
@@ -135,8 +135,10 @@ def _p2_stats(spark, d):
 
 def cluster_group_sums(spark, d):
     s = _p2_stats(spark, d)
-    return s.select("cid", "grp", "n", F.round(F.col("sums")[0], 4).alias("sum_x"),
-                    F.round(F.col("sums")[1], 4).alias("sum_y"))
+    # y carries five decimals, so six-place rounding keeps summation-order noise
+    # away from a rounding boundary
+    return s.select("cid", "grp", "n", r6(F.col("sums")[0]).alias("sum_x"),
+                    r6(F.col("sums")[1]).alias("sum_y"))
 
 
 def _params_cols():
