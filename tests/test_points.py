@@ -1,6 +1,5 @@
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from fairspark.sources.points import group_counts, parse_points, points_from
 from fairspark.sources.synth import synth_points
