@@ -42,3 +42,17 @@ def test_p2_two_fair_steps(spark):
     ref = {r[0]: (r[1], r[2]) for r in con.sql(oracle.oracle_sql()["fair_lloyd_2"]).fetchall()}
     for i, c in enumerate(out):
         assert (round(c[0], 6), round(c[1], 6)) == ref[i]
+
+
+def test_gamma_decisions_are_far_from_rounding_noise(spark):
+    # fA > fB decides each halving; summation order changes the costs by ~1e-15
+    # relative, so every comparison on the fixture must be decided by far more
+    pts = tables.p2_points(spark, SF)
+    centers = tables.P2_CENTERS
+    margins = []
+    for _ in range(2):
+        stats = fair.cluster_group_stats(objective.assign(pts, centers), 2).collect()
+        trace = []
+        centers = fair.solve_step(stats, centers, trace)
+        margins += [abs(fa - fb) / fa for _, fa, fb in trace]
+    assert min(margins) > 1e-6
