@@ -85,3 +85,11 @@ def test_parse_fails_without_ansi(spark):
             parse_points(_lines(spark, ["1,2,A", "1,x,B"]), 2).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_number_forms_parse_like_java(spark):
+    import math
+    rows = ["NaN,1,A", "Infinity,1,A", " 1.5 ,1,A", "1.5d,1,A", "0x1p3,1,A", "-0.0,1e-3,B"]
+    got = [list(r["features"]) for r in parse_points(_lines(spark, rows), 2).collect()]
+    assert math.isnan(got[0][0]) and got[1][0] == math.inf
+    assert [g[0] for g in got[2:]] == [1.5, 1.5, 8.0, -0.0] and got[5][1] == 0.001
