@@ -27,10 +27,12 @@ NEAREST_TYPE = T.StructType([
 ])
 
 # Above this many centre coordinates (K x d) the vectorised UDF is used.  The
-# literals are inlined into generated code, so every new centre list is a new
-# compile; measured on 600k 2-d points: K x d = 10 -> expression 0.7 s vs UDF
-# 1.3 s, 40 -> 1.0 s vs 1.9 s, 100 -> 17 s vs 2.3 s (method too large for codegen).
-UNROLL_LIMIT = 48
+# expression's cost grows with K x d (and its literals recompile with every new
+# centre list); the UDF's per-row cost hardly does.  Measured inside a fair step
+# on 600k 2-d points, warm: K x d = 10 -> expression 0.67 s vs UDF 0.78 s,
+# 16 -> 0.55 vs 0.59, 24 -> 0.77 vs 0.62, 40 -> 0.96 vs 0.67; at 100 the
+# expression no longer fits one generated method (17 s vs 2.3 s).
+UNROLL_LIMIT = 20
 
 
 def as_col(c: str | Column) -> Column:
