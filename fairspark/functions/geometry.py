@@ -71,22 +71,33 @@ def _nearest_expr(features: str | Column, centers: Centers) -> Column:
     return cands[0] if len(cands) == 1 else F.least(*cands)
 
 
+# rows x centres distance entries held at once per task (about 32 MB)
+UDF_BLOCK = 4_000_000
+
+
 def _nearest_udf(features: str | Column, centers: Centers) -> Column:
     cmat = np.asarray(centers, dtype=np.float64)
+    rows_per_block = max(1, UDF_BLOCK // cmat.shape[0])
 
-    @F.pandas_udf(NEAREST_TYPE)
-    def nearest_batch(feat: pd.Series) -> pd.DataFrame:
-        if len(feat) == 0:
-            return pd.DataFrame({"d": pd.Series([], dtype="float64"),
-                                 "cid": pd.Series([], dtype="int32")})
-        x = np.stack(feat.to_numpy())
+    def block(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         dist = np.zeros((x.shape[0], cmat.shape[0]))
         # accumulate coordinate by coordinate, the same order as ``sqdist``
         for j in range(cmat.shape[1]):
             diff = x[:, j:j + 1] - cmat[None, :, j]
             dist += diff * diff
         cid = np.argmin(dist, axis=1)  # first minimum: lowest index on ties
-        return pd.DataFrame({"d": dist[np.arange(len(cid)), cid], "cid": cid.astype("int32")})
+        return dist[np.arange(len(cid)), cid], cid
+
+    @F.pandas_udf(NEAREST_TYPE)
+    def nearest_batch(feat: pd.Series) -> pd.DataFrame:
+        if len(feat) == 0:
+            return pd.DataFrame({"d": pd.Series([], dtype="float64"),
+                                 "cid": pd.Series([], dtype="int32")})
+        x = np.stack(feat.to_numpy())
+        parts = [block(x[i:i + rows_per_block]) for i in range(0, x.shape[0], rows_per_block)]
+        d = np.concatenate([p[0] for p in parts])
+        cid = np.concatenate([p[1] for p in parts])
+        return pd.DataFrame({"d": d, "cid": cid.astype("int32")})
 
     return nearest_batch(as_col(features))
 
