@@ -41,7 +41,12 @@ def _words(lines: DataFrame, id_cols: Sequence[str], col: str = "value") -> Data
 
 def per_doc_counts(lines: DataFrame, id_cols: Sequence[str] = ("doc_id", "line_no"),
                    col: str = "value") -> DataFrame:
-    """``(*id_cols, word, n)``: occurrences of each word in each line."""
+    """``(*id_cols, word, n)``: occurrences of each word in each line.
+
+    The shuffle is keyed by (document, line, word) after a map-side combine.
+    Partitioning the lines by document first would save it, but would send
+    every line of a very large document to one task.
+    """
     return (_words(lines, id_cols, col).groupBy(*id_cols, "word")
             .agg(F.count(F.lit(1)).alias("n")))
 
