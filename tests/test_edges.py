@@ -103,3 +103,14 @@ def test_report_matches_separate_operators(spark):
         assert stats.collect() == objective.center_stats(pts, cs).collect()
     finally:
         cached.unpersist()
+
+
+def test_compare_on_the_udf_path_matches_separate_evaluations(spark):
+    pts = tables.p64_points(spark, "/root/testdata/sf0.001")
+    cs = tables.p64_centers(spark, "/root/testdata/sf0.001")
+    models = {"all": cs, "half": cs[:5]}
+    got = {r["model"]: r for r in objective.compare(pts, models).collect()}
+    for name, centers in models.items():
+        one = objective.evaluate(pts, centers).head()
+        assert got[name]["delta"] == pytest.approx(one["delta"], rel=1e-12)
+        assert got[name]["phi"] == pytest.approx(one["phi"], rel=1e-12)
