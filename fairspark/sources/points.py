@@ -81,18 +81,24 @@ def load_points(spark: SparkSession, path: str, dim: int, group_a: str = GROUP_A
 def points_from(df: DataFrame, coord_cols: Sequence[str | Column], group: str | Column,
                 group_a: str = GROUP_A, group_b: str = GROUP_B,
                 keep: Sequence[str] = ()) -> DataFrame:
-    """Points from table columns: ``(features, grp, *keep)``."""
-    feats = F.array(*[as_col(c).cast("double") for c in coord_cols])
-    return df.select(*keep, feats.alias("features"),
+    """Points from table columns: ``(features, grp, *keep)``; a NULL coordinate is an error."""
+    coords = [as_col(c).cast("double") for c in coord_cols]
+    any_null = coords[0].isNull()
+    for c in coords[1:]:
+        any_null = any_null | c.isNull()
+    feats = F.when(any_null, F.raise_error(F.lit("NULL coordinate"))).otherwise(F.array(*coords))
+    return df.select(*keep, feats.cast("array<double>").alias("features"),
                      _canonical_group(as_col(group), group_a, group_b).alias("grp"))
 
 
 def points_from_array(df: DataFrame, array_col: str | Column, group: str | Column,
                       group_a: str = GROUP_A, group_b: str = GROUP_B,
                       keep: Sequence[str] = ()) -> DataFrame:
-    """Points from an array column (e.g. an embedding)."""
-    feats = as_col(array_col).cast("array<double>")  # a plain cast stays in generated code
-    return df.select(*keep, feats.alias("features"),
+    """Points from an array column (e.g. an embedding); a NULL vector or element is an error."""
+    arr = as_col(array_col).cast("array<double>")  # a plain cast stays in generated code
+    bad = arr.isNull() | F.exists(arr, lambda x: x.isNull())
+    feats = F.when(bad, F.raise_error(F.lit("NULL coordinate"))).otherwise(arr)
+    return df.select(*keep, feats.cast("array<double>").alias("features"),
                      _canonical_group(as_col(group), group_a, group_b).alias("grp"))
 
 

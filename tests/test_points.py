@@ -93,3 +93,13 @@ def test_number_forms_parse_like_java(spark):
     got = [list(r["features"]) for r in parse_points(_lines(spark, rows), 2).collect()]
     assert math.isnan(got[0][0]) and got[1][0] == math.inf
     assert [g[0] for g in got[2:]] == [1.5, 1.5, 8.0, -0.0] and got[5][1] == 0.001
+
+
+def test_null_coordinates_are_errors(spark):
+    from fairspark.sources.points import points_from_array
+    df = spark.createDataFrame([(1.0, None, "x")], "a double, b double, g string")
+    with pytest.raises(PySparkException):
+        points_from(df, ["a", "b"], "g", group_a="x", group_b="y").collect()
+    arr = spark.createDataFrame([([1.0, None], "x")], "e array<float>, g string")
+    with pytest.raises(PySparkException):
+        points_from_array(arr, "e", "g", group_a="x", group_b="y").collect()
