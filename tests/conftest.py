@@ -8,8 +8,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from fairspark.session import local_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
 # a labelled-points text file (lat,lon,label lines) for the golden tests of
 # FIXTURES.md F1; the tests skip when it is not given
 POINTS_FILE = os.environ.get("FAIRSPARK_POINTS_FILE", "")
