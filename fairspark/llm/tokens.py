@@ -25,6 +25,10 @@ BYTE_LEVEL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{
 WORD_LEVEL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
+#: Marks that are a piece by themselves behind a word.
+MARKS = tuple(".,;:!?")
+
+
 def byte_letters() -> dict[int, str]:
     """The printable letter that stands for each byte in byte-level vocabularies: printable Latin-1
     bytes stand for themselves, the others for the code points from 256 on."""
@@ -62,22 +66,26 @@ class UnitTokenizer:
             if piece.isascii() and piece.isalpha():
                 letters = piece
             else:
-                letters = "".join([self.letters[b] for b in piece.encode()])
+                letters = piece.encode().decode("latin-1").translate(self.letters)
             ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
             if len(self.pieces) >= CACHE_PIECES:
                 self.pieces = _newer_half(self.pieces)
             self.pieces[piece] = ids
         return ids
 
-    def _unit(self, unit: str) -> bytes:
+    def _unit(self, unit: str, space: str = "") -> bytes:
+        """Ids of one unit, after a blank where white space is kept."""
         if not self.keeps_space:
             if not unit.isascii():
                 unit = unicodedata.normalize("NFC", unit)
-            # one character at a time: no rule looks at its neighbours
-            unit = unit.lower() if unit.isascii() else "".join([c.lower() for c in unit])
-            if unit.isascii() and unit.isalpha():
-                return self._piece(unit)
-        return b"".join([self._piece(p) for p in self.pattern.findall(unit)])
+            # one character at a time, without the rule for the last sigma of a word
+            unit = unit.lower() if "\u03a3" not in unit else "".join([c.lower() for c in unit])
+        # most units are letters, or letters and one mark: no need of the pattern
+        if unit.isalpha():
+            return self._piece(space + unit)
+        if unit[-1:] in MARKS and unit[:-1].isalpha():
+            return self._piece(space + unit[:-1]) + self._piece(unit[-1])
+        return b"".join([self._piece(p) for p in self.pattern.findall(space + unit)])
 
     def _learn(self, cache: dict[str, bytes], units: set[str], prefix: str = "") -> dict[str, bytes]:
         missing = units.difference(cache)
@@ -85,7 +93,7 @@ class UnitTokenizer:
             cache = _newer_half(cache)
             missing = units.difference(cache)
         for u in missing:
-            cache[u] = self._unit(prefix + u)
+            cache[u] = self._unit(u, prefix)
         return cache
 
     def encode(self, texts: list[str]) -> list[bytes]:
