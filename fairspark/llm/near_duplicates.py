@@ -5,7 +5,7 @@ start.  Every class stands in ``TREES`` sorted orders of its signature (each ord
 coordinates of its own); its candidates are the neighbours that share the longest prefixes there, at
 least ``MIN_DEPTH`` values.  Sorting makes the depth adaptive: in a sparse region neighbours are those
 with a short common prefix, in a crowded one only those with a long one.  In a crowded region every
-member also meets the region's centre, the member that agrees most with the majority of each
+member also meets the region's centres, the members that agree most with the majority of each
 coordinate, so copies of one original that differ much from each other still meet it.
 
 Candidates are confirmed on the full sets, first the strongest of each class, then whatever the
@@ -34,8 +34,8 @@ SHINGLE = 5
 #: Links have 100 * |A and B| >= PERCENT * |A or B|.
 PERCENT = 75
 HASHES, TREES, DEPTH, MIN_DEPTH = 64, 20, 16, 3
-#: Neighbours on each side in each order; a region longer than this also has a centre.
-NEIGHBOURS = 6
+#: Neighbours on each side in each order; a region longer than this also has centres.
+NEIGHBOURS, CENTRES = 6, 8
 
 _SALT, _ODD = stream(HASHES, 21), stream(HASHES, 22) | U(1)
 
@@ -141,7 +141,7 @@ def neighbours(rows: DataFrame) -> DataFrame:
 
 
 def _centres(values: np.ndarray, lcp: np.ndarray, node: np.ndarray, n: np.ndarray) -> list[tuple]:
-    """Pairs of each member of a crowded region with the region's centre."""
+    """Pairs of each member of a crowded region with the region's centres."""
     out = []
     cut = np.flatnonzero(lcp < MIN_DEPTH) + 1
     edges = np.concatenate([[0], cut, [len(node)]])
@@ -153,8 +153,8 @@ def _centres(values: np.ndarray, lcp: np.ndarray, node: np.ndarray, n: np.ndarra
         for j in range(MIN_DEPTH, DEPTH):
             v, inverse, count = np.unique(part[:, j], return_inverse=True, return_counts=True)
             agree += inverse == count.argmax()
-        c = a + int(agree.argmax())
-        out.append((np.full(b - a, node[c]), node[a:b], np.full(b - a, MIN_DEPTH), np.full(b - a, n[c]), n[a:b]))
+        for c in a + np.argsort(-agree, kind="stable")[:CENTRES]:
+            out.append((np.full(b - a, node[c]), node[a:b], np.full(b - a, MIN_DEPTH), np.full(b - a, n[c]), n[a:b]))
     return out
 
 
