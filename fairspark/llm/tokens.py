@@ -16,9 +16,11 @@ import unicodedata
 
 import regex
 
+from .textvec import CACHES
+
 #: Entries of the caches of units and of pieces.  Full caches keep their newer half, which changes
 #: the speed and not the ids.
-CACHE_UNITS, CACHE_PIECES = 500_000, 1_000_000
+CACHE_UNITS, CACHE_PIECES = 400_000, 800_000
 
 #: fixed values: the split patterns of the two vocabularies (their files and README)
 BYTE_LEVEL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -145,6 +147,10 @@ def _newer_half(cache: dict[str, bytes]) -> dict[str, bytes]:
     return dict(items[len(items) // 2:])
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=1)
 def tokenizer(path: str) -> UnitTokenizer:
+    """The worker's tokenizer of this vocabulary, kept until another operator runs in the worker."""
     return UnitTokenizer(path)
+
+
+CACHES.append(tokenizer.cache_clear)
