@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import key_sketch, maybe_in, stage, table
-from .textvec import U, Words, chunks, flat, mix, shingle_set, stream
+from .textvec import U, Words, chunks, flat, give_back, mix, shingle_set, stream
 
 SHINGLE = 5
 #: Links have 100 * |A and B| >= PERCENT * |A or B|.
@@ -135,7 +135,8 @@ def neighbours(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, c)[ok]), pa.array(np.maximum(a, c)[ok]),
                                               pa.array(weight[ok].astype(np.int64))], names=["a", "b", "weight"])
             keep = slice(-NEIGHBOURS, None)
-            tail = key[keep], node[keep], n[keep]
+            tail = key[keep].copy(), node[keep].copy(), n[keep].copy()
+            give_back()
 
     return ordered.mapInArrow(run, "a long, b long, weight long").groupBy("a", "b").agg(F.sum("weight").alias("weight"))
 
@@ -194,6 +195,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 both = int((q[np.minimum(at, len(q) - 1)] == p).sum())
                 ok.append(100 * both >= PERCENT * (len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            give_back()
 
     joined = (pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
               .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import stage, table
+from .textvec import chunks
 from .tokens import tokenizer
 
 WINDOW = 1024
@@ -105,7 +106,7 @@ def cut_documents(docs: DataFrame, path: str, end_id: int = 0, window: int = WIN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, nth = tokenizer(path), 0
-        for b in batches:
+        for b in (part for batch in batches for part in chunks(batch, "text", 1 << 20, clear=False)):
             rows = ([], [], [], [], [], [])
             for doc, ids in zip(b.column(0).to_pylist(), tok.encode([x or "" for x in b.column(1).to_pylist()])):
                 ids += end

@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import key_sketch, maybe_in, stage, table
-from .textvec import BYTE, U, chunks, flat, mix
+from .textvec import BYTE, U, chunks, flat, give_back, mix
 
 LENGTH, GRAM = 400, 96
-#: Contexts of a shard (about 2 MB of text).  An anchor with more classes than that is not sorted in
+#: Contexts of a shard (under 1 MB of text).  An anchor with more classes than that is not sorted in
 #: one place: its strings are grouped one by one instead.
-SHARD_CONTEXTS = 4_000
+SHARD_CONTEXTS = 1_500
 
 #: Bytes that one numpy pass takes of a long text, and bits of a place in it.
 SEGMENT, PLACE_BITS = 8 << 20, 24
@@ -178,6 +178,7 @@ def context_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             cols = list(zip(*rows)) if rows else [[] for _ in fields]
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols], pa.array(keys, pa.int64()),
                                               pa.array(parts, pa.binary())], names=[*fields, "text_key", "bytes"])
+            give_back()
 
     return (texts.join(lists, "text_key").select("text_key", "text", "wanted")
             .mapInArrow(run, ", ".join(f"{f} long" for f in fields) + ", text_key long, bytes binary"))
@@ -195,6 +196,7 @@ def sorted_factors(contexts: DataFrame, shards: int, length: int) -> DataFrame:
         text = np.frombuffer(b"".join(pdf["bytes"]), np.uint8)
         before, after = factors(text, np.concatenate(starts_of), length)
         cut = np.cumsum([len(x) for x in starts_of])[:-1]
+        give_back()
         return pd.DataFrame({"hash": pdf["hash"].to_numpy(), "context": pdf["context"].to_numpy(),
                              "earlier": [ranges(x, length) for x in np.split(before, cut)],
                              "elsewhere": [ranges(x, length) for x in np.split(before | after, cut)]})
@@ -320,6 +322,7 @@ def cut_repeats(docs: DataFrame, keep_first: bool = True, length: int = LENGTH,
             cols = [c for c, n in zip(b.columns, b.schema.names) if n != "_spans"]
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([*cols, pa.array(merged, kind), pa.array(kept, pa.binary())], names=out.names)
+            give_back()
 
     untouched = plain.withColumns({"spans": F.array().cast(SPANS), "kept_bytes": F.coalesce("text", F.lit("")).cast("binary")})
     return untouched.unionByName(joined.mapInArrow(run, out)).drop("text_key")

@@ -82,13 +82,13 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, off - off[0]
 
 
-def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
+def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK, clear: bool = True) -> Iterator[pa.RecordBatch]:
     """Slices of the batch with at most ``limit`` bytes of the text column each (one row at least)."""
     n = batch.num_rows
     if not n:
         return
-    for clear in CACHES:
-        clear()
+    for drop in CACHES if clear else ():
+        drop()
     _, off = flat(batch.column(batch.schema.get_field_index(column)))
     i = 0
     while i < n:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import stage_path, table
+from .textvec import chunks
 from .tokens import tokenizer
 
 #: Tokens of a shard (it ends at the next document end) and bits of a block of a plane.
@@ -166,9 +167,8 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int = 1, bit
         ids: list[int | None] = []
         parts: list[bytes] = []
         size = shard = part = 0
-        for b in batches:
-            if b.num_rows:
-                part = b.column(0)[0].as_py()
+        for b in (x for batch in batches for x in chunks(batch, "text", 1 << 20, clear=False)):
+            part = b.column(0)[0].as_py()
             for doc, got in zip(b.column(1).to_pylist(), tok.encode(b.column(2).to_pylist())):
                 ids.append(doc)
                 parts.append(got + end)
