@@ -13,7 +13,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(se.queries()))
+@pytest.mark.parametrize("name", sorted(se._queries.QUERIES))
 def test_no_cartesian_or_nested_loop_join(spark, name):
     p = plan(se.queries()[name](spark, SF))
     assert "CartesianProduct" not in p
