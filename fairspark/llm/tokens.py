@@ -20,7 +20,7 @@ from .textvec import CACHES
 
 #: Entries of the caches of units and of pieces.  Full caches keep their newer half, which changes
 #: the speed and not the ids.
-CACHE_UNITS, CACHE_PIECES = 400_000, 800_000
+CACHE_UNITS, CACHE_PIECES = 100_000, 500_000
 
 #: fixed values: the split patterns of the two vocabularies (their files and README)
 BYTE_LEVEL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
