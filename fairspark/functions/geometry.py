@@ -85,7 +85,8 @@ def _nearest_udf(features: str | Column, centers: Centers) -> Column:
         for j in range(cmat.shape[1]):
             diff = x[:, j:j + 1] - cmat[None, :, j]
             dist += diff * diff
-        cid = np.argmin(dist, axis=1)  # first minimum: lowest index on ties
+        # first minimum: lowest index on ties; a NaN distance is never the nearest, as in the expression
+        cid = np.argmin(np.where(np.isnan(dist), np.inf, dist), axis=1)
         return dist[np.arange(len(cid)), cid], cid
 
     @F.pandas_udf(NEAREST_TYPE)

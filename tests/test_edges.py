@@ -84,10 +84,10 @@ def test_line_search_gamma_in_bracket(spark):
     assert (g * 1024) == int(g * 1024)   # a multiple of 2^-10 after 10 halvings
 
 
-def test_driver_and_frame_solves_agree_on_tables(spark):
+def test_fair_step_is_the_operators_in_a_row(spark):
     pts = tables.p2_points(spark, SF)
     stats = fair.cluster_group_stats(objective.assign(pts, tables.P2_CENTERS), 2)
-    driver = fair.solve_step(stats.collect(), tables.P2_CENTERS)
+    driver = fair.fair_step(pts, tables.P2_CENTERS)
     params = fair.fair_params(stats)
     frame = {r["cid"]: tuple(r["center"]) for r in fair.fair_centers(params, fair.line_search(params)).collect()}
     for cid, c in frame.items():
@@ -114,3 +114,20 @@ def test_compare_on_the_udf_path_matches_separate_evaluations(spark):
         one = objective.evaluate(pts, centers).head()
         assert got[name]["delta"] == pytest.approx(one["delta"], rel=1e-12)
         assert got[name]["phi"] == pytest.approx(one["phi"], rel=1e-12)
+
+
+def test_null_key_and_one_group_models_do_not_disturb_others(spark):
+    rows = [(seg, 0, g, 2, [x, x], 0.5) for seg in (None, "s1") for g, x in (("A", 1.0), ("B", 5.0))] + [("only_a", 0, "A", 2, [1.0, 1.0], 0.5)]
+    stats = spark.createDataFrame(rows, "seg string, cid int, grp string, n long, sums array<double>, cost double")
+    params = fair.fair_params(stats, ["seg"])
+    got = {r["seg"]: r["center"] for r in fair.fair_centers(params, fair.line_search(params, ["seg"]), ["seg"]).collect()}
+    assert got[None] == got["s1"] and {None, "s1"} <= set(got)
+
+
+@pytest.mark.parametrize("nan_at", [0, 1, 2])
+def test_nan_centre_same_for_both_methods(spark, nan_at):
+    centers = [(0.0, 0.0), (2.0, 2.0), (5.0, 5.0)]
+    centers[nan_at] = (float("nan"), float("nan"))
+    pts = spark.createDataFrame([([1.0, 1.0], "A"), ([2.0, 2.0], "B"), ([4.0, 5.0], "B")], "features array<double>, grp string")
+    expr, udf = ([r["cid"] for r in objective.assign(pts, centers, method=m).orderBy("features").collect()] for m in ("expr", "udf"))
+    assert expr == udf and nan_at not in expr
