@@ -8,9 +8,13 @@ with a short common prefix, in a crowded one only those with a long one.  In a c
 member also meets the region's centres, the members that agree most with the majority of each
 coordinate, so copies of one original that differ much from each other still meet it.
 
-Candidates are confirmed on the full sets, first the strongest of each class, then whatever the
-components found so far do not yet settle.  Nothing is capped: a region of any size gives each
-member a fixed number of neighbours, and links between members follow through the components.
+Candidates are confirmed on the full sets in two rounds.  The first takes the nearest neighbour on each
+side and one centre of each region, of these the strongest neighbour and the strongest centre of each
+class, and finds components.  The second reads the orders of all classes that have any neighbour
+again, now with the roots of these components, and takes only candidates whose roots differ; so
+copies that one component already holds never meet again.  Nothing is capped: a region of any size
+gives each member a fixed number of neighbours, and links between members follow through the
+components.
 
 Defined results: null and texts without words have an empty set, link with nothing and are their own
 component; a null id is never the smallest, and its component is null if no id is known; repeated
@@ -86,8 +90,10 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def forest_rows(classes: DataFrame) -> DataFrame:
-    """``(key, node, n)``: a row per class and tree; the key is the tree and its ordered values."""
+    """``(key, node, n)``, and ``root`` where ``classes`` has it: a row per class and tree; the key is
+    the tree and its ordered values."""
     order = orders()
+    names = ["node", "n_shingles", "signature"] + ["root"] * ("root" in classes.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -97,14 +103,17 @@ def forest_rows(classes: DataFrame) -> DataFrame:
             for t in range(TREES):
                 rows = np.ascontiguousarray(sig[:, order[t]]).view(np.uint8).reshape(b.num_rows, 2 * DEPTH)
                 keys = np.concatenate([np.full((b.num_rows, 1), t, np.uint8), rows], axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in keys], pa.binary()), b.column(0), b.column(1)],
-                                                 names=["key", "node", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k.tobytes() for k in keys], pa.binary()), b.column(0), b.column(1), *b.columns[3:]],
+                    names=["key", "node", "n", *names[3:]])
 
-    return classes.select("node", "n_shingles", "signature").mapInArrow(run, "key binary, node long, n long")
+    return classes.select(*names).mapInArrow(run, "key binary, node long, n long" + ", root long" * len(names[3:]))
 
 
-def neighbours(rows: DataFrame) -> DataFrame:
-    """``(a, b, weight)``: candidate pairs, a < b, with the number of prefix values they share in all orders."""
+def neighbours(rows: DataFrame, width: int = NEIGHBOURS, centres: int = CENTRES) -> DataFrame:
+    """``(a, b, fits, weight, central)``: candidate pairs, a < b, whether their sizes allow a link, the
+    number of prefix values they share in all orders, and that with one as the other's centre.  Where
+    ``rows`` has ``root``, only pairs of two roots."""
     ordered = rows.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,39 +122,44 @@ def neighbours(rows: DataFrame) -> DataFrame:
             if not b.num_rows:
                 continue
             key = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint8).reshape(b.num_rows, 2 * DEPTH + 1)
-            node, n = (b.column(i).to_numpy() for i in (1, 2))
+            node, n, root = (b.column(i).to_numpy() for i in (1, 2, -1 if b.num_columns > 3 else 1))
             old = 0
             if tail is not None:
-                key, node, n = (np.concatenate([x, y]) for x, y in zip(tail, (key, node, n)))
+                key, node, n, root = (np.concatenate([x, y]) for x, y in zip(tail, (key, node, n, root)))
                 old = len(tail[1])
             values = np.ascontiguousarray(key[:, 1:]).view(">u2").astype(np.uint16)
             same = np.concatenate([(key[1:, :1] == key[:-1, :1]), values[1:] == values[:-1]], axis=1)
             lcp = np.where(same.all(axis=1), DEPTH, same.argmin(axis=1) - 1)  # -1: another tree
             out = []
             common = np.full(len(node), DEPTH)
-            for w in range(1, NEIGHBOURS + 1):
+            for w in range(1, width + 1):
                 common = np.minimum(common[:len(node) - w], lcp[w - 1:])
                 i = np.flatnonzero(common >= MIN_DEPTH)
                 i = i[i + w >= old]  # pairs within the rows carried over are out already
-                out.append((node[i], node[i + w], common[i], n[i], n[i + w]))
-            out += _centres(values, lcp, node, n)
-            a, c, weight, na, nc = (np.concatenate(x) for x in zip(*out))
+                out.append((i, i + w, common[i], np.zeros(len(i), np.int64)))
+            out += _centres(values, lcp, node, centres)
+            i, j, weight, central = (np.concatenate(x) for x in zip(*out))
+            apart = (node[i] != node[j]) & (root[i] != root[j])
+            i, j, weight, central = i[apart], j[apart], weight[apart], central[apart]
             # sets whose sizes differ more than the threshold allows cannot link
-            ok = (a != c) & (100 * np.minimum(na, nc) >= PERCENT * np.maximum(na, nc))
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, c)[ok]), pa.array(np.maximum(a, c)[ok]),
-                                              pa.array(weight[ok].astype(np.int64))], names=["a", "b", "weight"])
-            keep = slice(-NEIGHBOURS, None)
-            tail = key[keep].copy(), node[keep].copy(), n[keep].copy()
+            fits = 100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j])), pa.array(fits),
+                 pa.array(weight.astype(np.int64)), pa.array(central)], names=["a", "b", "fits", "weight", "central"])
+            keep = slice(-width, None)
+            tail = key[keep].copy(), node[keep].copy(), n[keep].copy(), root[keep].copy()
             give_back()
 
-    return ordered.mapInArrow(run, "a long, b long, weight long").groupBy("a", "b").agg(F.sum("weight").alias("weight"))
+    pairs = ordered.mapInArrow(run, "a long, b long, fits boolean, weight long, central long")
+    return pairs.groupBy("a", "b", "fits").agg(F.sum("weight").alias("weight"), F.sum("central").alias("central"))
 
 
-def _centres(values: np.ndarray, lcp: np.ndarray, node: np.ndarray, n: np.ndarray) -> list[tuple]:
-    """Pairs of each member of a crowded region with the region's centres."""
+def _centres(values: np.ndarray, lcp: np.ndarray, node: np.ndarray, centres: int) -> list[tuple]:
+    """Row pairs of each member of a crowded region with the region's centres; among members that agree
+    alike, the smallest nodes, so that all orders tend to the same centres."""
     out = []
     cut = np.flatnonzero(lcp < MIN_DEPTH) + 1
-    edges = np.concatenate([[0], cut, [len(node)]])
+    edges = np.concatenate([[0], cut, [len(values)]])
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
         if b - a <= NEIGHBOURS:
             continue
@@ -154,8 +168,8 @@ def _centres(values: np.ndarray, lcp: np.ndarray, node: np.ndarray, n: np.ndarra
         for j in range(MIN_DEPTH, DEPTH):
             v, inverse, count = np.unique(part[:, j], return_inverse=True, return_counts=True)
             agree += inverse == count.argmax()
-        for c in a + np.argsort(-agree, kind="stable")[:CENTRES]:
-            out.append((np.full(b - a, node[c]), node[a:b], np.full(b - a, MIN_DEPTH), np.full(b - a, n[c]), n[a:b]))
+        for c in a + np.lexsort((node[a:b], -agree))[:centres]:
+            out.append((np.full(b - a, c), np.arange(a, b), np.full(b - a, MIN_DEPTH), np.full(b - a, MIN_DEPTH)))
     return out
 
 
@@ -209,18 +223,20 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     classes = stage(signed.filter("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"), F.min("n_shingles").alias("n_shingles"),
         F.any_value("signature").alias("signature")), "classes")
-    pairs = stage(neighbours(forest_rows(classes)), "candidates")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = stage(full_sets(docs, classes.join(ends, "node", "left_semi").select("node", "text_key")), "sets")
-    # first the strongest candidate of each class, which settles most components
-    strongest = (pairs.select("a", "b", "weight", F.explode(F.array("a", "b")).alias("of"))
-                 .groupBy("of").agg(F.max(F.struct("weight", "a", "b")).alias("p")).select("p.a", "p.b").distinct())
+    near = stage(neighbours(forest_rows(classes), 1, 1), "candidates")
+    # a class with any neighbour has one next to it, so these are all that can have links
+    ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    social = stage(classes.join(ends, "node", "left_semi"), "social")
+    # first the strongest neighbour and centre of each class, which settle most components
+    best = (near.filter("fits").select("a", "b", "weight", "central", F.explode(F.array("a", "b")).alias("of"))
+            .groupBy("of").agg(F.max(F.struct("weight", "a", "b")).alias("p"),
+                               F.max(F.struct("central", "weight", "a", "b")).alias("q")))
+    strongest = best.select("p.a", "p.b").unionByName(best.select("q.a", "q.b")).distinct()
+    sets = stage(full_sets(docs, social.select("node", "text_key")), "sets")
     links = stage(confirmed(strongest, sets), "links")
-    roots = components(links)
-    # then every other candidate whose ends are still apart
-    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-    apart = (pairs.join(strongest, ["a", "b"], "left_anti").join(root("a"), "a", "left").join(root("b"), "b", "left")
-             .filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")))
+    # then every candidate whose ends are still apart
+    rooted = social.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    apart = neighbours(forest_rows(rooted)).filter("fits").join(strongest, ["a", "b"], "left_anti")
     more = stage(confirmed(apart, sets), "links")
     roots = components(links.unionByName(more))
     grouped = classes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
