@@ -1,5 +1,4 @@
-from .geometry import centers_literal, coord, nearest, sqdist, sqdist_cols
+from .geometry import nearest, sqdist
 from .text import line_array, text_tokens, tokens
 
-__all__ = ["centers_literal", "coord", "nearest", "sqdist", "sqdist_cols",
-           "line_array", "text_tokens", "tokens"]
+__all__ = ["nearest", "sqdist", "line_array", "text_tokens", "tokens"]

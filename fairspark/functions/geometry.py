@@ -39,10 +39,6 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def coord(features: str | Column, j: int) -> Column:
-    return as_col(features)[j]
-
-
 def sqdist(features: str | Column, center: Sequence[float]) -> Column:
     """Squared Euclidean distance, summed in coordinate order (no root)."""
     f = as_col(features)
@@ -54,21 +50,13 @@ def sqdist(features: str | Column, center: Sequence[float]) -> Column:
     return total if total is not None else F.lit(0.0)
 
 
-def sqdist_cols(a: Sequence[Column], b: Sequence[Column]) -> Column:
-    """Squared distance between two coordinate lists of columns."""
-    total = None
-    for x, y in zip(a, b):
-        diff = x - y
-        term = diff * diff
-        total = term if total is None else total + term
-    return total if total is not None else F.lit(0.0)
-
-
 def _nearest_expr(features: str | Column, centers: Centers) -> Column:
     # struct ordering is (d, cid): smallest distance, then lowest index on ties
     cands = [F.struct(sqdist(features, c).alias("d"), F.lit(i).alias("cid"))
              for i, c in enumerate(centers)]
-    return cands[0] if len(cands) == 1 else F.least(*cands)
+    best = cands[0] if len(cands) == 1 else F.least(*cands)
+    dim = len(centers[0])
+    return F.when(F.size(as_col(features)) == dim, best).otherwise(F.raise_error(F.lit(f"expected {dim} coordinates")))
 
 
 # rows x centres distance entries held at once per task (about 32 MB)
@@ -95,6 +83,8 @@ def _nearest_udf(features: str | Column, centers: Centers) -> Column:
             return pd.DataFrame({"d": pd.Series([], dtype="float64"),
                                  "cid": pd.Series([], dtype="int32")})
         x = np.stack(feat.to_numpy())
+        if x.shape[1] != cmat.shape[1]:
+            raise ValueError(f"expected {cmat.shape[1]} coordinates")
         parts = [block(x[i:i + rows_per_block]) for i in range(0, x.shape[0], rows_per_block)]
         d = np.concatenate([p[0] for p in parts])
         cid = np.concatenate([p[1] for p in parts])
@@ -111,8 +101,3 @@ def nearest(features: str | Column, centers: Centers, method: str = "auto") -> C
     if method == "udf" or (method == "auto" and size > UNROLL_LIMIT):
         return _nearest_udf(features, centers)
     return _nearest_expr(features, centers)
-
-
-def centers_literal(centers: Centers) -> Column:
-    """The centre list as one ``array<array<double>>`` literal."""
-    return F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])

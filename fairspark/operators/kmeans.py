@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Centers
+from ..sources.points import persist_points
 from .objective import assign
 
 # fixed values of the training call: init mode, seed and tolerance
@@ -65,10 +66,14 @@ def lloyd(points: DataFrame, centers: Centers, max_iter: int,
           tol: float = TOL) -> list[tuple[float, ...]]:
     """Lloyd iterations from given centres; stops early once no centre moves more than ``tol``."""
     cur = [tuple(float(v) for v in c) for c in centers]
-    for _ in range(max_iter):
-        new = lloyd_step(points, cur)
-        done = all(_sqdist(a, b) <= tol * tol for a, b in zip(cur, new))
-        cur = new
-        if done:
-            break
-    return cur
+    points = persist_points(points.select("features"))
+    try:
+        for _ in range(max_iter):
+            new = lloyd_step(points, cur)
+            done = all(_sqdist(a, b) <= tol * tol for a, b in zip(cur, new))
+            cur = new
+            if done:
+                break
+        return cur
+    finally:
+        points.unpersist()

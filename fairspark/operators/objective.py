@@ -8,6 +8,7 @@ only shuffle carries a few rows per task whatever the data size or skew.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -61,13 +62,10 @@ def cluster_group_counts(points: DataFrame, centers: Centers) -> DataFrame:
 
 
 def literal_rows(spark, rows: Sequence[Sequence], names: Sequence[str], types: Sequence[str]) -> DataFrame:
-    """A small DataFrame built from literals on the JVM side (no Python RDD)."""
-    def val(v, t):
-        if isinstance(v, (list, tuple)):
-            return F.array(*[F.lit(float(x)) for x in v]).cast(t)
-        return F.lit(v).cast(t)
-    structs = [F.struct(*[val(v, t).alias(n) for v, n, t in zip(r, names, types)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A small DataFrame from one literal parsed on the JVM side: the plan does not grow with the rows."""
+    text = json.dumps([dict(zip(names, r)) for r in rows])
+    schema = "array<struct<" + ", ".join(f"{n}: {t}" for n, t in zip(names, types)) + ">>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), schema)))
 
 
 def centers_frame(spark, centers: Centers) -> DataFrame:

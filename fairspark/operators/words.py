@@ -6,11 +6,12 @@ Four formulations give the same ``(word, n)``:
 * ``salted``      -- a salt per (document, word) attached to each token, count per
                      (salt, word), then sum per word;
 * ``salted_expr`` -- the same with the salt computed inside the grouping;
-* ``partition``   -- count per (task partition, word), then sum per word.
+* ``partition``   -- count per word within each task, then sum per word.
 
 Catalyst already combines map-side (partial aggregation), so ``one_round``
-is the plan to use; the others split a hot word over ``salts`` reducers in
-the first round.  The salt is a hash, not a random draw, so a retried task
+is the plan to use, and ``partition`` is the same plan: the partial aggregate
+is the count within a task.  The salted ones split a hot word over ``salts``
+reducers in the first round.  The salt is a hash, not a random draw, so a retried task
 reproduces its output exactly.
 """
 
@@ -65,17 +66,14 @@ def word_counts(lines: DataFrame, mode: str = "one_round", salts: int | None = N
         raise ValueError(f"mode must be one of {MODES}")
     salts = salts or DEFAULT_SALTS
     one = F.count(F.lit(1)).alias("n")
-    if mode == "one_round":
+    if mode in ("one_round", "partition"):
         return _words(lines, (), col).groupBy("word").agg(one)
-    if mode == "partition":
-        first = _words(lines, (), col).groupBy(F.spark_partition_id().alias("part"), "word").agg(one)
+    keys = list(id_cols) if id_cols else [col]
+    w = _words(lines, keys, col)
+    if mode == "salted":
+        first = w.withColumn("salt", _salt(keys, salts)).groupBy("salt", "word").agg(one)
     else:
-        keys = list(id_cols) if id_cols else [col]
-        w = _words(lines, keys, col)
-        if mode == "salted":
-            first = w.withColumn("salt", _salt(keys, salts)).groupBy("salt", "word").agg(one)
-        else:
-            first = w.groupBy(_salt(keys, salts).alias("salt"), "word").agg(one)
+        first = w.groupBy(_salt(keys, salts).alias("salt"), "word").agg(one)
     return first.groupBy("word").agg(F.sum("n").alias("n"))
 
 

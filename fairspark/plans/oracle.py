@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from .tables import P2_CENTERS, P2_FAR_CENTER, PRICE_SCALE, UNBALANCED_QTY
+from .tables import P2_CENTERS, P2_FAR_CENTER, P2_FAR_CENTERS, P64_DIM, PRICE_SCALE, UNBALANCED_QTY
 
 def lit(v: float) -> str:
     return f"CAST({float(v)!r} AS DOUBLE)"
@@ -82,9 +82,6 @@ def p2_points_sql(grouping: str = "unbalanced") -> str:
             f"l_extendedprice / {lit(PRICE_SCALE)} AS x1, {P2_GROUP[grouping]} AS grp FROM lineitem")
 
 
-P64_DIM = 64
-
-
 def p64_points_sql() -> str:
     xs = ", ".join(f"CAST(embedding[{j + 1}] AS DOUBLE) AS x{j}" for j in range(P64_DIM))
     return (f"SELECT vec_id, {xs}, CASE WHEN label % 2 = 0 THEN 'A' ELSE 'B' END AS grp "
@@ -250,20 +247,23 @@ def _one_step(centers=P2_CENTERS) -> tuple[list[str], str]:
     return ctes + step, last
 
 
-def _repair_sql() -> str:
-    centers = [*P2_CENTERS, P2_FAR_CENTER]
+def _repair_sql(fars) -> str:
+    centers = [*P2_CENTERS, *fars]
     k = len(centers)
-    far = k - 1
-    d_far = dist(["x0", "x1"], [lit(v) for v in P2_FAR_CENTER])
     ctes = _p2_assigned(centers)
-    ctes.append(f"sizes AS (SELECT cid, count(*) AS n FROM a GROUP BY cid)")
-    ctes.append(
-        f"donor AS (SELECT a.x0, a.x1, a.grp, a.cid FROM a JOIN sizes s ON a.cid = s.cid "
-        f"WHERE s.n > 1 ORDER BY {d_far}, a.x0, a.x1, a.grp, a.cid LIMIT 1)")
-    ctes.append(
-        f"ar AS (SELECT a.x0, a.x1, a.grp, CASE WHEN EXISTS (SELECT 1 FROM donor d WHERE d.x0 = a.x0 "
-        f"AND d.x1 = a.x1 AND d.grp = a.grp AND d.cid = a.cid) THEN {far} ELSE a.cid END AS cid FROM a)")
-    step, last = fair_step_ctes("s", "ar", 2, k)
+    last = "a"
+    for far in range(len(P2_CENTERS), k):
+        d_far = dist(["x0", "x1"], [lit(v) for v in centers[far]])
+        new = f"ar{far}"
+        ctes.append(f"sizes{far} AS (SELECT cid, count(*) AS n FROM {last} GROUP BY cid)")
+        ctes.append(
+            f"donor{far} AS (SELECT a.x0, a.x1, a.grp, a.cid FROM {last} a JOIN sizes{far} s ON a.cid = s.cid "
+            f"WHERE s.n > 1 AND a.cid < {len(P2_CENTERS)} ORDER BY {d_far}, a.x0, a.x1, a.grp, a.cid LIMIT 1)")
+        ctes.append(
+            f"{new} AS (SELECT a.x0, a.x1, a.grp, CASE WHEN EXISTS (SELECT 1 FROM donor{far} d WHERE d.x0 = a.x0 "
+            f"AND d.x1 = a.x1 AND d.grp = a.grp AND d.cid = a.cid) THEN {far} ELSE a.cid END AS cid FROM {last} a)")
+        last = new
+    step, last = fair_step_ctes("s", last, 2, k)
     return with_(ctes + step, round_centers(last, 2))
 
 
@@ -345,7 +345,10 @@ def oracle_sql() -> dict[str, str]:
         f"(SELECT grp, count(*) AS n, sum(d2) AS s FROM {pref} GROUP BY grp)"
         for model, pref in (("standard", "es"), ("fair", "ef")))
     out["fair_vs_standard"] = with_([_p2(), *lctes, *fctes, *evals], body)
-    out["empty_center_repair"] = _repair_sql()
+    out["empty_center_repair"] = _repair_sql([P2_FAR_CENTER])
+    out["empty_center_repair_many"] = _repair_sql(P2_FAR_CENTERS)
+    out["kmeans_properties"] = ("SELECT CAST(5 AS INTEGER) AS n_centers, count(*) AS n_points, true AS costs, "
+                                "true AS improved FROM lineitem")
     out["synth_points"] = _synth_sql()
     # 64-d points
     p64 = f"pts AS ({p64_points_sql()})"

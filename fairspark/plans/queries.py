@@ -196,6 +196,24 @@ def empty_center_repair(spark, d):
     return _centers_df(spark, centers)
 
 
+def empty_center_repair_many(spark, d):
+    """Three empty centres that all want the same point."""
+    centers = fair.fair_lloyd(tables.p2_points(spark, d), init_centers=[*P2_CENTERS, *tables.P2_FAR_CENTERS],
+                              max_iter=1)
+    return _centers_df(spark, centers)
+
+
+def kmeans_properties(spark, d):
+    """What holds for k-means whatever its random start: five centres, every point in one cluster, and
+    training that does not raise the objective of the initial centres."""
+    pts = tables.p2_points(spark, d).select("features", "grp")
+    init, trained = kmeans.kmeans_centers(pts, 5, 0), kmeans.kmeans_centers(pts, 5, 10)
+    both = objective.assign(objective.assign(pts, init).select("features", F.col("d2").alias("d_init")), trained)
+    return both.agg(F.count("cid").alias("n_points"), (F.avg("d2") > 0).alias("costs"),
+                    (F.avg("d2") <= F.avg("d_init")).alias("improved")).select(
+        F.lit(len(trained)).alias("n_centers"), "n_points", "costs", "improved")
+
+
 def synth(spark, d):
     n = spark.read.parquet(f"{d}/lineitem.parquet").count()  # no spread needed for a count
     return synth_points(spark, n, 5, seed=42)
@@ -274,6 +292,8 @@ QUERIES = {
     "lloyd_standard_2": lloyd_standard_2,
     "fair_vs_standard": fair_vs_standard,
     "empty_center_repair": empty_center_repair,
+    "empty_center_repair_many": empty_center_repair_many,
+    "kmeans_properties": kmeans_properties,
     "synth_points": synth,
     "kmeans_standard": kmeans_standard,
     "kmeans_init": kmeans_init,

@@ -22,13 +22,16 @@ P2_CENTERS = [(10.0, 10.0), (10.0, 40.0), (25.0, 60.0), (40.0, 30.0), (40.0, 85.
 P2_FAR_CENTER = (200.0, 200.0)
 PRICE_SCALE = 1000.0
 UNBALANCED_QTY = 10.0
+# three centres whose nearest point is the same one
+P2_FAR_CENTERS = [(200.0, 200.0), (201.0, 201.0), (202.0, 202.0)]
+P64_DIM = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...] = ()) -> DataFrame:
     """A test table, pruned to ``columns`` and spread over the task slots
     (each test file is a single row group, i.e. a single scan task)."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df.select(*columns) if columns else df)
+    return spread(df.select(*columns) if columns else df, spark.sparkContext.defaultParallelism)
 
 
 def p2_group(grouping: str) -> F.Column:
@@ -50,16 +53,15 @@ def p2_points(spark: SparkSession, sf_dir: str, grouping: str = "unbalanced",
 def p64_points(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings", ("embedding", "label", *keep))
     grp = F.when(F.col("label") % 2 == 0, "A").otherwise("B")
-    return points_from_array(emb, "embedding", grp, keep=keep)
+    return points_from_array(emb, "embedding", grp, keep=keep, dim=P64_DIM)
 
 
 def p64_centers(spark: SparkSession, sf_dir: str) -> list[tuple[float, ...]]:
     """Embedding of the smallest vec_id of each label, in label order (one row per label)."""
-    emb = table(spark, sf_dir, "embeddings")
-    rows = (emb.groupBy("label")
-            .agg(F.min_by("embedding", "vec_id").alias("e"))
-            .orderBy("label").collect())  # one row per label: the K centres
-    return [tuple(float(v) for v in r["e"]) for r in rows]
+    emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    ids = [r["v"] for r in emb.groupBy("label").agg(F.min("vec_id").alias("v")).collect()]  # K ids
+    rows = emb.filter(F.col("vec_id").isin(ids)).select("label", "embedding").orderBy("label").collect()
+    return [tuple(float(v) for v in r["embedding"]) for r in rows]
 
 
 def doc_lines(spark: SparkSession, sf_dir: str, keep_line_no: bool = True) -> DataFrame:

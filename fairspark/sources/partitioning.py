@@ -3,7 +3,8 @@
 A scan yields one task per file split or row group.  A small input in one
 large row group would run every later stage in a single task; ``spread``
 round-robins such an input over the cluster's task slots.  A large input
-already has many splits and is returned as is (no shuffle).
+already has many files and is returned as is (no shuffle).  It is meant for
+plain file scans: the number of files is known without planning or running one.
 """
 
 from __future__ import annotations
@@ -11,10 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()  # plans the scan; runs nothing
-    except Exception:  # noqa: BLE001 -- sessions without the RDD API: leave the plan as is
-        return df
-    return df if have >= want else df.repartition(want)
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """``df``, a file scan, dealt over ``partitions`` tasks if it has fewer files."""
+    return df if len(df.inputFiles()) >= partitions else df.repartition(partitions)

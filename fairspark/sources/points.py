@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import as_col
-from .partitioning import spread
 
 # fixed values: the two canonical group labels
 GROUP_A = "A"
@@ -93,21 +92,25 @@ def points_from(df: DataFrame, coord_cols: Sequence[str | Column], group: str |
 
 def points_from_array(df: DataFrame, array_col: str | Column, group: str | Column,
                       group_a: str = GROUP_A, group_b: str = GROUP_B,
-                      keep: Sequence[str] = ()) -> DataFrame:
-    """Points from an array column (e.g. an embedding); a NULL vector or element is an error."""
+                      keep: Sequence[str] = (), dim: int | None = None) -> DataFrame:
+    """Points from an array column (e.g. an embedding); a NULL vector or element is an error, and so
+    is a vector that has not the declared ``dim`` coordinates."""
     arr = as_col(array_col).cast("array<double>")  # a plain cast stays in generated code
     bad = arr.isNull() | F.exists(arr, lambda x: x.isNull())
-    feats = F.when(bad, F.raise_error(F.lit("NULL coordinate"))).otherwise(arr)
+    feats = F.when(bad, F.raise_error(F.lit("NULL coordinate")))
+    if dim is not None:
+        feats = feats.when(F.size(arr) != dim, F.raise_error(F.lit(f"expected {dim} coordinates")))
+    feats = feats.otherwise(arr)
     return df.select(*keep, feats.cast("array<double>").alias("features"),
                      _canonical_group(as_col(group), group_a, group_b).alias("grp"))
 
 
 def persist_points(points: DataFrame) -> DataFrame:
-    """Keep points for iterative use, spread over the task slots.
+    """Keep points for iterative use, in the partitions they have; starts no job.
 
     Blocks lost with an executor are rebuilt from the scan by lineage.
     """
-    return spread(points).persist(StorageLevel.MEMORY_AND_DISK)
+    return points.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def group_counts(points: DataFrame) -> DataFrame:
@@ -117,11 +120,3 @@ def group_counts(points: DataFrame) -> DataFrame:
         F.count_if(F.col("grp") == GROUP_A).alias("n_a"),
         F.count_if(F.col("grp") == GROUP_B).alias("n_b"),
     )
-
-
-def dimension(points: DataFrame) -> int:
-    """Dimension d read from the first point (one row)."""
-    row = points.select(F.size("features").alias("d")).head(1)
-    if not row:
-        raise ValueError("no points")
-    return int(row[0]["d"])

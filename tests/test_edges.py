@@ -131,3 +131,31 @@ def test_nan_centre_same_for_both_methods(spark, nan_at):
     pts = spark.createDataFrame([([1.0, 1.0], "A"), ([2.0, 2.0], "B"), ([4.0, 5.0], "B")], "features array<double>, grp string")
     expr, udf = ([r["cid"] for r in objective.assign(pts, centers, method=m).orderBy("features").collect()] for m in ("expr", "udf"))
     assert expr == udf and nan_at not in expr
+
+
+@pytest.mark.parametrize("method", ["expr", "udf"])
+def test_a_vector_of_another_length_is_an_error(spark, method):
+    pts = spark.createDataFrame([([1.0, 1.0, 99.0], "A"), ([1.0, 2.0, 3.0], "B")], "features array<double>, grp string")
+    with pytest.raises(Exception, match="expected 2 coordinates"):
+        objective.assign(pts, [(0.0, 0.0), (2.0, 2.0)], method=method).collect()
+
+
+def test_repair_reads_the_points_once_for_all_empty_centres(spark):
+    pts = spark.createDataFrame([([float(i), 0.0], "AB"[i % 2]) for i in range(40)] + [([39.0, 0.0], "B")] * 3,
+                                "features array<double>, grp string")
+    cs = [(0.0, 0.0), (30.0, 0.0), (100.0, 0.0), (101.0, 0.0), (102.0, 0.0)]
+    assigned = objective.assign(pts, cs).select("features", "grp", "cid").repartition(5)
+    moved = fair.repair_empty(assigned, cs, {0, 1})
+    got = {r["cid"]: (r["n"], r["x"]) for r in moved.filter("cid > 1").groupBy("cid").agg(
+        F.count("*").alias("n"), F.max(F.col("features")[0]).alias("x")).collect()}
+    assert got == {2: (4, 39.0), 3: (1, 38.0), 4: (1, 37.0)}
+
+
+def test_persisting_starts_no_job(spark):
+    from fairspark.sources.points import persist_points
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("persist-test", "persist")
+    pts = persist_points(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
+    assert list(tracker.getJobIdsForGroup("persist-test")) == []
+    pts.unpersist()
