@@ -40,9 +40,10 @@ def running_group_costs(lines: DataFrame, centers: Centers, dim: int) -> DataFra
     return group_mean_costs(parse_points(lines, dim), centers)
 
 
-def start(result: DataFrame, name: str, sink: str = "memory", mode: str = "complete",
+def start(result: DataFrame, name: str, sink: str, mode: str = "complete",
           checkpoint: str | None = None, **options) -> StreamingQuery:
-    """Start a streaming aggregation with its state under the checkpoint folder."""
+    """Start a streaming aggregation into ``sink`` with its state under the checkpoint folder (the
+    ``memory`` sink brings every result to the driver and is for tests)."""
     spark = result.sparkSession
     base = checkpoint or os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}-{uuid.uuid4().hex}")
     writer = (result.writeStream.format(sink).outputMode(mode).queryName(name)

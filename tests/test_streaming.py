@@ -5,7 +5,7 @@ def test_running_word_counts(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
     (src / "a.txt").write_text("a b b\nc\n")
-    q = start(running_word_counts(text_stream(spark, str(src))), "wc_test")
+    q = start(running_word_counts(text_stream(spark, str(src))), "wc_test", "memory")
     try:
         q.processAllAvailable()
         (src / "b.txt").write_text("b c  d\n")
@@ -20,7 +20,7 @@ def test_running_group_costs(spark, tmp_path):
     src = tmp_path / "pts"
     src.mkdir()
     (src / "a.csv").write_text("0,0,A\n2,0,B\n")
-    q = start(running_group_costs(text_stream(spark, str(src)), [(0.0, 0.0), (3.0, 0.0)], 2), "gc_test")
+    q = start(running_group_costs(text_stream(spark, str(src)), [(0.0, 0.0), (3.0, 0.0)], 2), "gc_test", "memory")
     try:
         q.processAllAvailable()
         (src / "b.csv").write_text("1,0,A\n")
