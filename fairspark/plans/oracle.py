@@ -195,13 +195,13 @@ def round_centers(name: str, dim: int) -> str:
 
 
 def fair_lloyd_sql(dim: int, k: int, first: CenterRef, iters: int,
-                   tag: str = "") -> tuple[list[str], str]:
-    """Fair Lloyd steps over the ``pts`` CTE; returns (ctes, last centres CTE)."""
+                   tag: str = "", src: str = "pts") -> tuple[list[str], str]:
+    """Fair Lloyd steps over the CTE ``src``; returns (ctes, last centres CTE)."""
     ctes: list[str] = []
     center = first
     last = ""
     for it in range(iters):
-        ctes.append(assign_cte(f"{tag}a{it}", "pts", dim, k, center))
+        ctes.append(assign_cte(f"{tag}a{it}", src, dim, k, center))
         step, last = fair_step_ctes(f"{tag}s{it}", f"{tag}a{it}", dim, k)
         ctes += step
         center = cte_centers(last, dim)
@@ -232,6 +232,9 @@ def lloyd_sql(dim: int, k: int, first: CenterRef, iters: int,
 
 # ---------------------------------------------------------------- the oracle set
 
+# fixed values: the return flags of the tables
+RETURN_FLAGS = ("A", "N", "R")
+
 def _p2(grouping="unbalanced") -> str:
     return f"pts AS ({p2_points_sql(grouping)})"
 
@@ -333,6 +336,13 @@ def oracle_sql() -> dict[str, str]:
     for iters in (1, 2):
         ctes, last = fair_lloyd_sql(2, k, literal_centers(P2_CENTERS), iters)
         out[f"fair_lloyd_{iters}"] = with_([_p2(), *ctes], round_centers(last, 2))
+    seg_ctes, seg_parts = [], []
+    for flag in RETURN_FLAGS:  # each model on its own points
+        seg_ctes.append(f"p{flag} AS ({p2_points_sql()} WHERE l_returnflag = '{flag}')")
+        ctes, last = fair_lloyd_sql(2, k, literal_centers(P2_CENTERS), 2, tag=f"m{flag}_", src=f"p{flag}")
+        seg_ctes += ctes
+        seg_parts.append(f"SELECT '{flag}' AS l_returnflag, cid, {r6('c0')} AS c0, {r6('c1')} AS c1 FROM {last}")
+    out["fair_lloyd_by_segment"] = with_(seg_ctes, " UNION ALL ".join(seg_parts))
     ctes, last = lloyd_sql(2, k, literal_centers(P2_CENTERS), 2)
     out["lloyd_standard_2"] = with_([_p2(), *ctes], round_centers(last, 2))
     # both centre sets evaluated on the same points
@@ -368,13 +378,12 @@ def oracle_sql() -> dict[str, str]:
 
 def _synth_sql(k: int = 5, seed: int = 42) -> str:
     def u(axis: str) -> str:
-        return (f"CAST(CAST('0x' || substr(md5('{seed}-{axis}-' || CAST(id AS VARCHAR)), 1, 13) AS BIGINT)"
+        return (f"CAST(CAST('0x' || substr(md5('{seed}-{axis}-' || l_orderkey || '-' || l_linenumber), 1, 13) AS BIGINT)"
                 f" AS DOUBLE) / {lit(2.0 ** 52)}")
     return (
-        f"WITH par AS (SELECT count(*) // {k} AS per FROM lineitem), "
-        f"ids AS (SELECT range AS id FROM range((SELECT per FROM par) * {k})), "
-        f"base AS (SELECT id, CAST(id // (SELECT per FROM par) AS INTEGER) AS cid, "
-        f"(id % (SELECT per FROM par)) < CAST(floor({lit(0.8)} * (SELECT per FROM par)) AS BIGINT) AS is_a FROM ids) "
-        f"SELECT id, cid, round({lit(0.0)} + cid * {lit(100.0)} + {u('x')} * {lit(20.0)}, 6) AS x, "
+        f"WITH drawn AS (SELECT l_orderkey, l_linenumber, CAST(floor({u('cid')} * {k}) AS INTEGER) AS cid, "
+        f"{u('grp')} < {lit(0.8)} AS is_a FROM lineitem) "
+        f"SELECT l_orderkey, l_linenumber, cid, "
+        f"round({lit(0.0)} + cid * {lit(100.0)} + {u('x')} * {lit(20.0)}, 6) AS x, "
         f"round(CASE WHEN is_a THEN {lit(50.0)} ELSE {lit(10.0)} END + {u('y')} * {lit(20.0)}, 6) AS y, "
-        f"CASE WHEN is_a THEN 'A' ELSE 'B' END AS grp FROM base")
+        f"CASE WHEN is_a THEN 'A' ELSE 'B' END AS grp FROM drawn")

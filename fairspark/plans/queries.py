@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import fair, kmeans, objective, words
 from ..sources.points import group_counts, parse_points
-from ..sources.synth import synth_points
+from ..sources.synth import synth_points_of
 from . import tables
 from .tables import P2_CENTERS, P2_FAR_CENTER
 
@@ -164,7 +164,7 @@ def fair_line_search(spark, d):
 
 def fair_centers(spark, d):
     params = fair.fair_params(_p2_stats(spark, d))
-    out = fair.fair_centers(params, fair.line_search(params))
+    out = fair.fair_centers(fair.line_search(params))
     return out.select("cid", r6(F.col("center")[0]).alias("c0"), r6(F.col("center")[1]).alias("c1"))
 
 
@@ -178,6 +178,17 @@ def fair_lloyd_2(spark, d):
                                               max_iter=2))
 
 
+def fair_lloyd_by_segment(spark, d):
+    """Two fair steps of one model per return flag, all models in the same passes."""
+    pts = tables.p2_points(spark, d, keep=("l_returnflag",))
+    flags = [r[0] for r in pts.select("l_returnflag").distinct().collect()]  # one row per flag
+    models = fair.fair_lloyd_by(pts, "l_returnflag", {f: P2_CENTERS for f in flags}, 2)
+    rows = [(f, i, *[float(v) for v in c]) for f, cs in models.items() for i, c in enumerate(cs)]
+    df = objective.literal_rows(spark, rows, ["l_returnflag", "cid", "c0", "c1"],
+                                ["string", "int", "double", "double"])
+    return df.select("l_returnflag", "cid", r6("c0").alias("c0"), r6("c1").alias("c1"))
+
+
 def lloyd_standard_2(spark, d):
     return _centers_df(spark, kmeans.lloyd(tables.p2_points(spark, d), P2_CENTERS, 2))
 
@@ -215,8 +226,9 @@ def kmeans_properties(spark, d):
 
 
 def synth(spark, d):
-    n = spark.read.parquet(f"{d}/lineitem.parquet").count()  # no spread needed for a count
-    return synth_points(spark, n, 5, seed=42)
+    """One synthetic point per order line, drawn by the line's key."""
+    lines = tables.table(spark, d, "lineitem", KEYS)
+    return synth_points_of(lines, KEYS, 5, seed=42)
 
 
 def kmeans_standard(spark, d):
@@ -289,6 +301,7 @@ QUERIES = {
     "fair_centers": fair_centers,
     "fair_lloyd_1": fair_lloyd_1,
     "fair_lloyd_2": fair_lloyd_2,
+    "fair_lloyd_by_segment": fair_lloyd_by_segment,
     "lloyd_standard_2": lloyd_standard_2,
     "fair_vs_standard": fair_vs_standard,
     "empty_center_repair": empty_center_repair,

@@ -1,9 +1,9 @@
 from .partitioning import spread
 from .points import (GROUP_A, GROUP_B, group_counts, load_points, parse_points,
                      persist_points, points_from, points_from_array, read_lines)
-from .synth import synth_points
+from .synth import synth_points, synth_points_of
 from .text import lines_from, read_text_lines
 
 __all__ = ["GROUP_A", "GROUP_B", "group_counts", "load_points", "parse_points",
-           "persist_points", "points_from", "points_from_array", "read_lines", "synth_points",
+           "persist_points", "points_from", "points_from_array", "read_lines", "synth_points", "synth_points_of",
            "lines_from", "read_text_lines", "spread"]

@@ -13,6 +13,8 @@ the retry of a lost task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,15 +46,30 @@ def synth_points(spark: SparkSession, n: int, k: int, seed: int = 42,
     ids = spark.range(0, total, 1, partitions) if partitions else spark.range(0, total)
     cid = F.expr(f"CAST(id div {per} AS INT)") if per else F.lit(0)
     is_a = (F.col("id") % F.lit(max(per, 1))) < F.lit(n_a)
+    return _place(ids.select("id", cid.alias("cid"), is_a.alias("is_a")), ["id"], F.col("id"), seed)
+
+
+def synth_points_of(rows: DataFrame, keys: Sequence[str], k: int, seed: int = 42) -> DataFrame:
+    """``(*keys, cid, x, y, grp)``: one point per row, drawn by a hash of its key columns.
+
+    Centre and group are drawn too, uniform over the ``k`` centres and A with probability 0.8, so no row
+    count is needed and nothing is shuffled.  Rows with equal keys give equal points; a NULL key is left
+    out of the hashed text.
+    """
+    if k <= 0:
+        raise ValueError("k must be positive")
+    key = F.concat_ws("-", *[F.col(c).cast("string") for c in keys])
+    drawn = rows.select(*keys, F.floor(hash_uniform(seed, "cid", key) * k).cast("int").alias("cid"),
+                        (hash_uniform(seed, "grp", key) < SHARE_A).alias("is_a"))
+    return _place(drawn, keys, key, seed)
+
+
+def _place(rows: DataFrame, keys: Sequence[str], key: Column, seed: int) -> DataFrame:
     x_lo = F.lit(X_START - HALF_RANGE) + F.col("cid").cast("double") * F.lit(X_STEP)
     y_lo = F.when(F.col("is_a"), F.lit(Y_A - HALF_RANGE)).otherwise(F.lit(Y_B - HALF_RANGE))
     span = F.lit(2 * HALF_RANGE)
-    return (
-        ids.select("id", cid.alias("cid"), is_a.alias("is_a"))
-        .select(
-            "id", "cid",
-            F.bround(x_lo + hash_uniform(seed, "x", F.col("id")) * span, DECIMALS).alias("x"),
-            F.bround(y_lo + hash_uniform(seed, "y", F.col("id")) * span, DECIMALS).alias("y"),
-            F.when(F.col("is_a"), F.lit("A")).otherwise(F.lit("B")).alias("grp"),
-        )
-    )
+    return rows.select(
+        *keys, "cid",
+        F.bround(x_lo + hash_uniform(seed, "x", key) * span, DECIMALS).alias("x"),
+        F.bround(y_lo + hash_uniform(seed, "y", key) * span, DECIMALS).alias("y"),
+        F.when(F.col("is_a"), F.lit("A")).otherwise(F.lit("B")).alias("grp"))

@@ -68,7 +68,7 @@ def test_fair_step_golden_both_paths(spark, labelled):
     assert close(driver, FAIR_1, 1e-12)
     params = fair.fair_params(fair.cluster_group_stats(objective.assign(labelled, C0), 2))
     frame = {r["cid"]: tuple(r["center"]) for r in
-             fair.fair_centers(params, fair.line_search(params)).collect()}
+             fair.fair_centers(fair.line_search(params)).collect()}
     assert close([frame[i] for i in range(4)], FAIR_1, 1e-12)
     m = _means(spark, labelled, driver)
     assert m["A"] == pytest.approx(0.002275743358998, rel=1e-10)

@@ -64,11 +64,11 @@ def test_many_models_side_by_side_equal_single_models(spark):
     stats = fair.cluster_group_stats(assigned, 2, by=["seg"])
     params = fair.fair_params(stats, by=["seg"])
     together = {(r["seg"], r["cid"]): tuple(r["center"])
-                for r in fair.fair_centers(params, fair.line_search(params, by=["seg"]), by=["seg"]).collect()}
+                for r in fair.fair_centers(fair.line_search(params, by=["seg"]), by=["seg"]).collect()}
     for s in ("even", "odd"):
         one = assigned.filter(F.col("seg") == s).drop("seg")
         p1 = fair.fair_params(fair.cluster_group_stats(one, 2))
-        alone = {r["cid"]: tuple(r["center"]) for r in fair.fair_centers(p1, fair.line_search(p1)).collect()}
+        alone = {r["cid"]: tuple(r["center"]) for r in fair.fair_centers(fair.line_search(p1)).collect()}
         for cid, c in alone.items():
             assert together[(s, cid)] == pytest.approx(c, abs=1e-9)
         fx = fair.fixed_costs(fair.cluster_group_stats(one, 2)).head()
@@ -89,7 +89,7 @@ def test_fair_step_is_the_operators_in_a_row(spark):
     stats = fair.cluster_group_stats(objective.assign(pts, tables.P2_CENTERS), 2)
     driver = fair.fair_step(pts, tables.P2_CENTERS)
     params = fair.fair_params(stats)
-    frame = {r["cid"]: tuple(r["center"]) for r in fair.fair_centers(params, fair.line_search(params)).collect()}
+    frame = {r["cid"]: tuple(r["center"]) for r in fair.fair_centers(fair.line_search(params)).collect()}
     for cid, c in frame.items():
         assert driver[cid] == pytest.approx(c, abs=1e-10)
 
@@ -120,7 +120,7 @@ def test_null_key_and_one_group_models_do_not_disturb_others(spark):
     rows = [(seg, 0, g, 2, [x, x], 0.5) for seg in (None, "s1") for g, x in (("A", 1.0), ("B", 5.0))] + [("only_a", 0, "A", 2, [1.0, 1.0], 0.5)]
     stats = spark.createDataFrame(rows, "seg string, cid int, grp string, n long, sums array<double>, cost double")
     params = fair.fair_params(stats, ["seg"])
-    got = {r["seg"]: r["center"] for r in fair.fair_centers(params, fair.line_search(params, ["seg"]), ["seg"]).collect()}
+    got = {r["seg"]: r["center"] for r in fair.fair_centers(fair.line_search(params, ["seg"]), ["seg"]).collect()}
     assert got[None] == got["s1"] and {None, "s1"} <= set(got)
 
 
@@ -159,3 +159,18 @@ def test_persisting_starts_no_job(spark):
     pts = persist_points(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
     assert list(tracker.getJobIdsForGroup("persist-test")) == []
     pts.unpersist()
+
+
+def test_fair_lloyd_of_many_models_equals_each_alone(spark):
+    rows = [(seg, float(x), float(x * 7 % 5) + off, "A" if x % 3 else "B")
+            for seg, off in ((None, 0.0), ("s1", 3.0)) for x in range(24)] + [("only_a", 1.0, 1.0, "A")]
+    df = spark.createDataFrame(rows, "seg string, x double, y double, g string")
+    pts = points_from(df, ["x", "y"], "g", keep=("seg",))
+    start = [(3.0, 2.0), (18.0, 4.0)]
+    got = fair.fair_lloyd_by(pts, "seg", {s: start for s in (None, "s1", "only_a")}, 2)
+    for seg in (None, "s1"):
+        alone = fair.fair_lloyd(pts.filter(F.col("seg").eqNullSafe(F.lit(seg))), init_centers=start, max_iter=2)
+        assert got[seg] == [pytest.approx(c, rel=1e-12) for c in alone]
+    assert got["only_a"] == start  # lacks a group: stays
+    with pytest.raises(Exception, match="no model"):
+        fair.fair_lloyd_by(pts, "seg", {"s1": start}, 1)
