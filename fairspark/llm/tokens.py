@@ -11,6 +11,7 @@ of the plain split.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import unicodedata
 
@@ -18,8 +19,8 @@ import regex
 
 from .textvec import CACHES
 
-#: Entries of the caches of units and of pieces.  Full caches keep their newer half, which changes
-#: the speed and not the ids.
+#: Entries of the caches of units and of pieces.  Full caches keep what is in use (units of the texts
+#: at hand, then newer ones; pieces looked up since the last cut), which changes the speed and not the ids.
 CACHE_UNITS, CACHE_PIECES = 100_000, 500_000
 
 #: fixed values: the split patterns of the two vocabularies (their files and README)
@@ -47,7 +48,7 @@ class UnitTokenizer:
     compose, lower-case and drop it.  Control strings of the vocabulary are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, room: int = 1):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
@@ -57,7 +58,9 @@ class UnitTokenizer:
             self.keeps_space = json.load(f)["normalizer"] is None
         self.pattern = BYTE_LEVEL if self.keeps_space else WORD_LEVEL
         self.letters = byte_letters()
+        self.room = room
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
         self.newline = self._unit("\n")
@@ -65,13 +68,15 @@ class UnitTokenizer:
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            if piece.isascii() and piece.isalpha():
-                letters = piece
-            else:
-                letters = piece.encode().decode("latin-1").translate(self.letters)
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
-            if len(self.pieces) >= CACHE_PIECES:
-                self.pieces = _newer_half(self.pieces)
+            ids = self.older.get(piece)
+            if ids is None:
+                if piece.isascii() and piece.isalpha():
+                    letters = piece
+                else:
+                    letters = piece.encode().decode("latin-1").translate(self.letters)
+                ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
+            if len(self.pieces) >= CACHE_PIECES * self.room // 2:
+                self.older, self.pieces = self.pieces, {}
             self.pieces[piece] = ids
         return ids
 
@@ -91,9 +96,8 @@ class UnitTokenizer:
 
     def _learn(self, cache: dict[str, bytes], units: set[str], prefix: str = "") -> dict[str, bytes]:
         missing = units.difference(cache)
-        if len(cache) + len(missing) > CACHE_UNITS:
-            cache = _newer_half(cache)
-            missing = units.difference(cache)
+        if len(cache) + len(missing) > CACHE_UNITS * self.room:
+            cache = _in_use(cache, units)
         for u in missing:
             cache[u] = self._unit(u, prefix)
         return cache
@@ -142,15 +146,19 @@ class UnitTokenizer:
         return out
 
 
-def _newer_half(cache: dict[str, bytes]) -> dict[str, bytes]:
-    items = list(cache.items())
-    return dict(items[len(items) // 2:])
+def _in_use(cache: dict[str, bytes], units: set[str]) -> dict[str, bytes]:
+    """The entries of these units, and newer others up to half of the cache."""
+    kept = {u: cache[u] for u in units if u in cache}
+    for u in itertools.islice(reversed(cache), max(0, len(cache) // 2 - len(kept))):
+        kept[u] = cache[u]
+    return kept
 
 
 @functools.lru_cache(maxsize=1)
-def tokenizer(path: str) -> UnitTokenizer:
-    """The worker's tokenizer of this vocabulary, kept until another operator runs in the worker."""
-    return UnitTokenizer(path)
+def tokenizer(path: str, room: int = 1) -> UnitTokenizer:
+    """The worker's tokenizer of this vocabulary, kept until another operator runs in the worker;
+    its caches hold ``room`` times the usual entries."""
+    return UnitTokenizer(path, room)
 
 
 CACHES.append(tokenizer.cache_clear)
