@@ -27,8 +27,8 @@ from .shared import stage_path, table
 from .textvec import chunks
 from .tokens import tokenizer
 
-#: Room of the token caches here, in times the usual one: nothing else of size is held beside them.
-CACHE_ROOM = 3
+#: Entries of the token caches here: nothing else of size is held beside them.
+TOKEN_UNITS, TOKEN_PIECES = 600_000, 1_000_000
 #: Tokens of a shard (it ends at the next document end) and bits of a block of a plane.
 SHARD_TOKENS = 1 << 21
 BLOCK_BITS = 1 << 16
@@ -165,7 +165,7 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int = 1, bit
                                           names=[x.split()[0] for x in SHARDS.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(path, CACHE_ROOM)
+        tok = tokenizer(path, TOKEN_UNITS, TOKEN_PIECES)
         ids: list[int | None] = []
         parts: list[bytes] = []
         size = shard = part = 0

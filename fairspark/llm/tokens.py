@@ -48,7 +48,7 @@ class UnitTokenizer:
     compose, lower-case and drop it.  Control strings of the vocabulary are ordinary text.
     """
 
-    def __init__(self, path: str, room: int = 1):
+    def __init__(self, path: str, units: int | None = None, pieces: int | None = None):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
@@ -58,7 +58,7 @@ class UnitTokenizer:
             self.keeps_space = json.load(f)["normalizer"] is None
         self.pattern = BYTE_LEVEL if self.keeps_space else WORD_LEVEL
         self.letters = byte_letters()
-        self.room = room
+        self.most = units or CACHE_UNITS, pieces or CACHE_PIECES
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
@@ -75,7 +75,7 @@ class UnitTokenizer:
                 else:
                     letters = piece.encode().decode("latin-1").translate(self.letters)
                 ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
-            if len(self.pieces) >= CACHE_PIECES * self.room // 2:
+            if len(self.pieces) >= self.most[1] // 2:
                 self.older, self.pieces = self.pieces, {}
             self.pieces[piece] = ids
         return ids
@@ -96,7 +96,7 @@ class UnitTokenizer:
 
     def _learn(self, cache: dict[str, bytes], units: set[str], prefix: str = "") -> dict[str, bytes]:
         missing = units.difference(cache)
-        if len(cache) + len(missing) > CACHE_UNITS * self.room:
+        if len(cache) + len(missing) > self.most[0]:
             cache = _in_use(cache, units)
         for u in missing:
             cache[u] = self._unit(u, prefix)
@@ -155,10 +155,10 @@ def _in_use(cache: dict[str, bytes], units: set[str]) -> dict[str, bytes]:
 
 
 @functools.lru_cache(maxsize=1)
-def tokenizer(path: str, room: int = 1) -> UnitTokenizer:
+def tokenizer(path: str, units: int | None = None, pieces: int | None = None) -> UnitTokenizer:
     """The worker's tokenizer of this vocabulary, kept until another operator runs in the worker;
-    its caches hold ``room`` times the usual entries."""
-    return UnitTokenizer(path, room)
+    ``units`` and ``pieces`` are the most entries of its caches, where not the usual ones."""
+    return UnitTokenizer(path, units, pieces)
 
 
 CACHES.append(tokenizer.cache_clear)
