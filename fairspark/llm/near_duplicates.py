@@ -8,13 +8,17 @@ with a short common prefix, in a crowded one only those with a long one.  In a c
 member also meets the region's centres, the members that agree most with the majority of each
 coordinate, so copies of one original that differ much from each other still meet it.
 
-Candidates are confirmed on the full sets in two rounds.  The first takes the nearest neighbour on each
+Candidates are confirmed on the full sets in three rounds.  The first takes the nearest neighbour on each
 side and one centre of each region, of these the strongest neighbour and the strongest centre of each
 class, and finds components.  The second reads the orders of all classes that have any neighbour
 again, now with the roots of these components, and takes only candidates whose roots differ; so
-copies that one component already holds never meet again.  Nothing is capped: a region of any size
-gives each member a fixed number of neighbours, and links between members follow through the
-components.
+copies that one component already holds never meet again.  A region (the classes of one tree that agree
+in its own coordinates) lies in one task, so in regions of up to ``NEIGHBOURS + 1`` classes every two
+meet.  In larger ones neighbours and centres are only a quick way to most links: the third round takes
+all classes of such regions and every pair of them with different roots that can reach the threshold,
+by an exact join on prefixes of their sets, rarest shingles first.  So every link is found whose ends
+meet in any region; two sets at the threshold itself meet in none with probability (1 - 0.75^3)^20 =
+2e-5, more alike ones less.
 
 Defined results: null and texts without words have an empty set, link with nothing and are their own
 component; a null id is never the smallest, and its component is null if no id is known; repeated
@@ -40,6 +44,8 @@ PERCENT = 75
 HASHES, TREES, DEPTH, MIN_DEPTH = 64, 20, 16, 3
 #: Neighbours on each side in each order; a region longer than this also has centres.
 NEIGHBOURS, CENTRES = 6, 8
+#: Counters of the order "rarest first" (a power of 2): shingles that share one only cost candidates.
+COUNTERS = 1 << 19
 
 _SALT, _ODD = stream(HASHES, 21), stream(HASHES, 22) | U(1)
 
@@ -114,7 +120,8 @@ def neighbours(rows: DataFrame, width: int = NEIGHBOURS, centres: int = CENTRES)
     """``(a, b, fits, weight, central)``: candidate pairs, a < b, whether their sizes allow a link, the
     number of prefix values they share in all orders, and that with one as the other's centre.  Where
     ``rows`` has ``root``, only pairs of two roots."""
-    ordered = rows.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
+    # by region, not by range: no two neighbours stand on two sides of a partition's edge
+    ordered = rows.repartition(F.substring("key", 1, 2 * MIN_DEPTH + 1)).sortWithinPartitions("key", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail: tuple | None = None
@@ -173,6 +180,98 @@ def _centres(values: np.ndarray, lcp: np.ndarray, node: np.ndarray, centres: int
     return out
 
 
+def crowded(classes: DataFrame) -> DataFrame:
+    """``(node)`` of all classes in a region of more than ``NEIGHBOURS + 1``, perhaps with some others."""
+    own = orders()[:, :MIN_DEPTH]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), ">u2").reshape(b.num_rows, HASHES)
+            for t in range(TREES):
+                region = np.full(b.num_rows, t, np.int64)
+                for j in own[t]:
+                    region = region << 16 | sig[:, j].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(region), b.column(0)], names=["region", "node"])
+            give_back()
+
+    rows = classes.select("node", "signature").mapInArrow(run, "region long, node long")
+    large = rows.groupBy("region").count().filter(F.col("count") > NEIGHBOURS + 1)
+    return maybe_in(rows, "region", key_sketch(large, "region")).select("node").distinct()
+
+
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles) & U(COUNTERS - 1)).astype(np.int64)
+
+
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How often each of ``COUNTERS`` counters of shingles stands in ``sets``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for b in batches:
+            for x in b.column(0):
+                np.add.at(total, _counter(np.frombuffer(x.as_buffer(), U)), 1)
+            give_back()
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["counter", "count"])
+
+    found = (sets.select("shingles").mapInArrow(run, "counter int, count long")
+             .groupBy("counter").agg(F.sum("count").alias("count")).toArrow())
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[found.column("counter").to_numpy()] = found.column("count").to_numpy()
+    return counts
+
+
+def prefix_candidates(sets: DataFrame) -> DataFrame:
+    """``(a, b)``, a < b: of ``sets (node, root, shingles)`` every pair of two roots that can link.
+
+    Sets that link have at least 75 % of the larger one in common, and 6/7 of the smaller one.  So with
+    the shingles in any one order, the first 1/4 of the larger and the first 1/7 of the smaller (and one
+    more each) have a shingle in common, and from the first such on enough of both sets is left for
+    all that they must share.  The rarest come first: a passage that many sets share stands last and
+    makes no candidates of sets that are otherwise different."""
+    counts = sets.sparkSession.sparkContext.broadcast(shingle_counts(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                b = batch.slice(i, 256)
+                rows, sizes, first, second = [], [], [], []
+                for x in b.column(2):
+                    x = np.frombuffer(x.as_buffer(), U)
+                    n = len(x)
+                    longer = n - -(-PERCENT * n // 100) + 1
+                    shorter = n - -(-2 * PERCENT * n // (100 + PERCENT)) + 1
+                    rows.append(x[np.lexsort((x, counts.value[_counter(x)]))[:longer]])
+                    sizes.append(n)
+                    first.append(longer)
+                    second.append(np.arange(longer) < shorter)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(rows).astype(np.int64)), pa.array(np.repeat(b.column(0).to_numpy(), first)),
+                     pa.array(np.repeat(b.column(1).to_numpy(), first)), pa.array(np.repeat(np.array(sizes, np.int64), first)),
+                     pa.array(np.concatenate([n - np.arange(k) for n, k in zip(sizes, first)])),
+                     pa.array(np.concatenate(second))], names=["shingle", "node", "root", "n", "rest", "short"])
+                give_back()
+
+    rows = stage(sets.select("node", "root", "shingles").mapInArrow(
+        run, "shingle long, node long, root long, n long, rest long, short boolean"), "prefixes")
+    # few shingles still stand in sets of two roots
+    mixed = stage(rows.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+                  .filter("low <> high").select("shingle"), "mixed")
+    rows = stage(maybe_in(rows, "shingle", key_sketch(mixed, "shingle")).join(mixed, "shingle", "left_semi"), "postings")
+    # roots meet before their sets do, so the sets of one root are never paired with each other
+    short = rows.filter("short").select("shingle", F.col("root").alias("other"), F.col("node").alias("b"), F.col("n").alias("m"),
+                                        F.col("rest").alias("rest_b"))
+    meet = (rows.select("shingle", "root").distinct().join(short.select("shingle", "other").distinct(), "shingle")
+            .filter("root <> other"))
+    pairs = rows.join(meet, ["shingle", "root"]).join(short, ["shingle", "other"])
+    pairs = pairs.filter(f"(m < n or m = n and b < node) and 100 * m >= {PERCENT} * n "
+                         f"and {100 + PERCENT} * least(rest, rest_b) >= {PERCENT} * (n + m)")
+    return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(node, shingles binary)`` of the wanted classes ``(node, text_key)``, from their texts."""
     keyed = docs.select(F.xxhash64("text").alias("text_key"), "text")
@@ -237,8 +336,13 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     # then every candidate whose ends are still apart
     rooted = social.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     apart = neighbours(forest_rows(rooted)).filter("fits").join(strongest, ["a", "b"], "left_anti")
-    more = stage(confirmed(apart, sets), "links")
-    roots = components(links.unionByName(more))
+    links = links.unionByName(stage(confirmed(apart, sets), "links"))
+    # last, every pair of crowded regions that is apart even now and may link
+    dense = stage(crowded(social), "crowded")
+    rooted = dense.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    dense_sets = stage(maybe_in(sets, "node", key_sketch(dense, "node")).join(rooted, "node"), "dense-sets")
+    links = links.unionByName(stage(confirmed(prefix_candidates(dense_sets), sets), "links"))
+    roots = components(links)
     grouped = classes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     of_node = grouped.join(smallest, "root").select("node", "component_id")

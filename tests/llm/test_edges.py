@@ -53,6 +53,20 @@ def test_near_duplicates(docs, data):
     assert got == sorted(brute.near_duplicates(data), key=repr)
 
 
+def test_near_duplicates_in_a_crowded_template(spark):
+    """Texts of one template that do not link, and pairs among them that do."""
+    shared = " ".join(f"form{i}" for i in range(160))
+    data = []
+    for i in range(0, 1200, 2):
+        own = [f"own{i}x{j}" for j in range(26)]
+        data += [(i, f"{shared} {' '.join(own)} {' '.join(f'a{i}y{j}' for j in range(18))}"),
+                 (i + 1, f"{shared} {' '.join(own)} {' '.join(f'b{i}y{j}' for j in range(18))}")]
+    want = [(d, 200, d - d % 2) for d, _ in data]
+    assert sorted(brute.near_duplicates(data[:60])) == want[:60]
+    got = near_duplicates.near_duplicate_groups(spark.createDataFrame(data, SCHEMA))
+    assert out(got, "doc_id", "n_shingles", "component_id") == sorted(want, key=repr)
+
+
 def test_contamination(spark, docs, data):
     items = [(1, "two"), (2, None), (3, ""), (4, PASSAGE), (4, "tok3 tok4"), (5, "zzz yyy")] if data else []
     bench = spark.createDataFrame(items, "item_id long, text string")
