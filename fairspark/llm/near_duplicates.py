@@ -315,8 +315,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def near_duplicate_groups(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs`` (doc_id, text)."""
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text_key, n_shingles, root, component_id)``, one row per row of ``docs``; ``root`` is
+    the component's smallest class, null for the empty set."""
     docs = docs.select("doc_id", "text")
     signed = stage(signatures(docs), "signatures")
     classes = stage(signed.filter("n_shingles > 0").groupBy("node").agg(
@@ -345,10 +346,15 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     roots = components(links)
     grouped = classes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_node = grouped.join(smallest, "root").select("node", "component_id")
-    full = signed.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
+    of_node = grouped.join(smallest, "root").select("node", "root", "component_id")
+    full = signed.select("doc_id", "text_key", "n_shingles", "node").join(of_node, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return full.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return full.select("doc_id", "text_key", "n_shingles", "root", component.alias("component_id"))
+
+
+def near_duplicate_groups(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs`` (doc_id, text)."""
+    return _grouped(docs).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,16 +362,16 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id (of repeated rows of it, one)."""
-    groups = stage(near_duplicate_groups(docs), "groups")
-    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    sketch = key_sketch(gone, "_gone")
-    perhaps = maybe_in(docs, "doc_id", sketch)
-    kept = maybe_in(docs, "doc_id", sketch, negate=True).unionByName(
-        perhaps.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti"))
-    again = groups.filter("kept").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
-    if again.limit(1).count() == 0:
-        return kept
-    twice = F.col("doc_id").eqNullSafe(F.col("_again"))
-    return kept.join(again, twice, "left_anti").unionByName(
-        kept.join(again, twice, "left_semi").dropDuplicates(["doc_id", "text"]))
+    """One row of each component: of those with the smallest id (null only if no id is known) the one
+    with the smallest hash of its text.  Rows without words stay; of rows equal in id and text one does."""
+    row = F.xxhash64("doc_id", "text_key").alias("_row")
+    groups = stage(_grouped(docs).select("doc_id", "text_key", "root", row), "groups")
+    first = (groups.filter("root is not null").groupBy("root")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key")).alias("f"))
+             .select(F.xxhash64("f.doc_id", "f.text_key").alias("_row")))
+    gone = stage(groups.filter("root is not null").select("_row").distinct().join(first, "_row", "left_anti"), "gone")
+    again = groups.groupBy("_row").count().filter("count > 1").select("_row")
+    sketch = stage(key_sketch(gone.unionByName(again), "_row"), "sketch")
+    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    perhaps = maybe_in(keyed, "_row", sketch).join(gone, "_row", "left_anti").dropDuplicates(["_row"])
+    return maybe_in(keyed, "_row", sketch, negate=True).unionByName(perhaps).drop("_row")

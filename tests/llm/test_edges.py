@@ -67,6 +67,21 @@ def test_near_duplicates_in_a_crowded_template(spark):
     assert out(got, "doc_id", "n_shingles", "component_id") == sorted(want, key=repr)
 
 
+def test_near_duplicate_stage_decides_by_row(spark):
+    def text(name, end=""):
+        return " ".join(f"{name}{i}" for i in range(60)) + end
+
+    data = [(1, text("a")), (None, text("a", " x")), (None, text("b")), (None, text("c")), (None, text("c", " x")),  # null ids
+            (2, text("d")), (3, text("d", " x")), (3, text("e")),  # 3 stands on a copy and on a clean text
+            (4, text("f")), (4, text("f", " x")), (5, text("g")), (5, text("g")), (6, None), (7, ""), (8, None)]
+    docs = spark.createDataFrame(data, SCHEMA).withColumn("lang", F.lit("en"))
+    kept = near_duplicates.near_duplicate_stage(spark, docs, "")
+    assert kept.columns == ["doc_id", "text", "lang"]
+    got = [(d, (t or "").split(" ")[0]) for d, t, _ in kept.collect()]
+    assert sorted(got, key=repr) == sorted([(1, "a0"), (None, "b0"), (None, "c0"), (2, "d0"), (3, "e0"), (4, "f0"), (5, "g0"),
+                                            (6, ""), (7, ""), (8, "")], key=repr)
+
+
 def test_contamination(spark, docs, data):
     items = [(1, "two"), (2, None), (3, ""), (4, PASSAGE), (4, "tok3 tok4"), (5, "zzz yyy")] if data else []
     bench = spark.createDataFrame(items, "item_id long, text string")
