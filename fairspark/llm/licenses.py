@@ -1,19 +1,25 @@
 """Licence notices by conditional compression, confirmed word by word.
 
-Lines that speak of a licence open a candidate block: that line and those after it, up to the longest
-template.  Each block is compressed alone and with every template as a raw zstandard dictionary; the
-template that saves the largest share wins, and its words are then compared with the block's one by
-one.  The block is confirmed if the words that differ are at most ``MAX_DIFFERENT`` of the template's.
-
-Defined results: null and empty texts and texts without such a line give no row; each opening line of
-a text gives one row, so repeated lines and repeated documents are reported each; ties between
-templates go to the first by name; other columns are ignored.
+Every word that speaks of a licence opens a window over the text on both sides of it, line breaks or
+not; windows that overlap are one.  A template is aligned with every place of a window where enough of
+its words stand at about their distances, and compared with it word by word.  The aligned words are
+compressed alone and with the template as a raw zstandard dictionary.  The place is a confirmed notice if the
+words that differ are at most ``MAX_DIFFERENT`` of the template's and the saving is ``LEAST_SAVING``;
+of places that overlap, the one with the most words in common, less those that differ, is taken.
+
+An opening word near no confirmed notice of its line gives a candidate block: its line and those after it,
+up to the longest template.  The template that saves the largest share of it is compared with it.
+
+Defined results: null and empty texts and texts without an opening word give no row; each notice gives
+one row, so repeated lines and repeated documents are reported each; ties between templates go to the
+first by name; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
@@ -52,18 +58,91 @@ class TemplateScanner:
             templates[k].encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for k in self.words}
         self.plain = zstandard.ZstdCompressor(level=3)
         self.opens = re.compile(OPENS)
+        self.places: dict[str, list[tuple[str, int]]] = defaultdict(list)
+        for k, v in self.words.items():
+            for j, w in enumerate(v):
+                self.places[w].append((k, j))
         self.longest = max(len(v) for v in templates.values()) + 40
 
-    def blocks(self, text: str) -> Iterator[tuple[int, str]]:
-        """Start (characters) and text of each candidate block."""
-        at, done = 0, 0
-        for line in text.split("\n"):
-            m = self.opens.search(line) if at >= done else None
-            if m:
-                # a very long line is read around its opening word
-                a = at + max(0, m.start() - self.longest)
-                yield a, text[a:a + 2 * self.longest] if len(line) > 2 * self.longest else text[a:a + max(len(line), self.longest)]
-            at += len(line) + 1
+    def windows(self, text: str) -> list[list[int]]:
+        """Start and end (characters) of the merged windows around the opening words."""
+        out: list[list[int]] = []
+        for m in self.opens.finditer(text):
+            a, b = max(0, m.start() - 2 * self.longest), min(len(text), m.end() + 2 * self.longest)
+            if out and a <= out[-1][1]:
+                out[-1][1] = b
+            else:
+                out.append([a, b])
+        return out
+
+    def notices(self, text: str, a: int, b: int) -> Iterator[tuple]:
+        """Result rows of the confirmed notices in a window of ``text``."""
+        at = [m.span() for m in _WORD.finditer(text, a, b)]
+        words = [text[i:j].lower() for i, j in at]
+        starts: dict[str, Counter] = defaultdict(Counter)  # template: where it would start, words that say so
+        for i, w in enumerate(words):
+            for name, j in self.places.get(w, ()):
+                starts[name][i - j] += 1
+        found = set()
+        for name, votes in starts.items():
+            size = len(self.words[name])
+            slack = int(MAX_DIFFERENT * size)
+            # missing and extra words move the others by at most ``slack`` in all
+            for s in votes:
+                if sum(votes.get(s + d, 0) for d in range(slack + 1)) >= size - slack:
+                    first, last, same, different = self.align(words, max(0, s), s + slack + size, name)
+                    if different <= MAX_DIFFERENT * size:
+                        found.add((different - same, name, first, last))
+        ranked = []
+        for score, name, first, last in found:
+            block = text[at[first][0]:at[last - 1][1]]
+            saving = self.saving(block, name)
+            if saving >= LEAST_SAVING:
+                ranked.append((score, -saving, name, first, last, block))
+        taken: set[int] = set()
+        for _, saving, name, first, last, block in sorted(ranked):
+            if taken.isdisjoint(range(first, last)):
+                taken.update(range(first, last))
+                missing, extra = self.differences(block, name)
+                yield (at[first][0], len(block), name, -saving, (len(missing) + len(extra)) / len(self.words[name]),
+                       missing, extra, True)
+
+    def align(self, words: list[str], a: int, b: int, name: str) -> tuple[int, int, int, int]:
+        """The words of ``words[a:b]`` that fit the template best: first, end, how many agree and differ."""
+        got, want = words[a:b], self.words[name]
+        runs = [m for m in difflib.SequenceMatcher(None, got, want, autojunk=False).get_matching_blocks() if m.size]
+        best = (len(want), a, a, 0)
+        for i in range(len(runs)):
+            same = 0
+            for m in runs[i:]:
+                same += m.size
+                extra = m.a + m.size - runs[i].a - same
+                best = min(best, (len(want) - same + extra, a + runs[i].a, a + m.a + m.size, same))
+        different, first, last, same = best
+        return first, last, same, different
+
+    def blocks(self, text: str, known: list[tuple]) -> Iterator[tuple[int, str]]:
+        """Start (characters) and text of the candidate blocks of opening words without a notice near."""
+        done = 0
+        spans = sorted((r[0], r[0] + r[1]) for r in known)
+        k = 0
+        for m in self.opens.finditer(text):
+            if m.start() < done:
+                continue
+            head = text.rfind("\n", 0, m.start()) + 1
+            tail = text.find("\n", m.start())
+            tail = len(text) if tail < 0 else tail
+            # a very long line is read around its opening word
+            near = max(head, m.start() - self.longest)
+            far = min(tail, m.start() + self.longest)
+            while k < len(spans) and spans[k][1] <= near:
+                k += 1
+            if k < len(spans) and spans[k][0] < far:
+                done = max(m.end(), min(spans[k][1], tail))
+                continue
+            done = far
+            size = tail - head
+            yield near, text[near:near + 2 * self.longest] if size > 2 * self.longest else text[near:near + max(size, self.longest)]
 
     def rank(self, block: str) -> list[tuple[float, str]]:
         """Templates by the share of the compressed size that they save, best first."""
@@ -71,6 +150,10 @@ class TemplateScanner:
         alone = len(self.plain.compress(data))
         return sorted(((1 - len(c.compress(data)) / alone, k) for k, c in self.press.items()), key=lambda x: (-x[0], x[1]))
 
+    def saving(self, block: str, name: str) -> float:
+        data = block.encode("utf-8", "surrogatepass")
+        return 1 - len(self.press[name].compress(data)) / len(self.plain.compress(data))
+
     def differences(self, block: str, name: str) -> tuple[list[str], list[str]]:
         """Words of the template that are missing, and words that stand between those found."""
         got, want = [w.lower() for w in _WORD.findall(block)], self.words[name]
@@ -83,7 +166,9 @@ class TemplateScanner:
         return [w for i, w in enumerate(want) if i not in found], [got[i] for i in range(first, last) if i not in inside]
 
     def scan(self, text: str) -> Iterator[tuple]:
-        for start, block in self.blocks(text):
+        known = sorted(row for a, b in self.windows(text) for row in self.notices(text, a, b))
+        yield from known
+        for start, block in self.blocks(text, known):
             line = block.split("\n", 1)[0]
             best = None
             # a block may be a short notice followed by text: its first line is a candidate of its own
@@ -102,7 +187,7 @@ SCHEMA = ("doc_id long, start long, length long, license string, saving double,
 
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
-    """One row per candidate block of ``docs`` (doc_id, text)."""
+    """One row per notice and per other candidate block of ``docs`` (doc_id, text)."""
     templates = dict(templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -138,6 +138,22 @@ def test_licenses(docs, data):
     assert got == ([(9, "MIT", True)] if data else [])
 
 
+def test_licenses_in_one_line_and_over_line_breaks():
+    prose = "Some prose about birds and rivers that fills a line with many words of no meaning. " * 4
+    mit, cc, gpl = (licenses.TEMPLATES[k] for k in ("MIT", "CC-BY-4.0", "GPL-3.0-notice"))
+    words = gpl.split(" ")
+    wrapped = "\n".join(" * " + " ".join(words[i:i + 6]) for i in range(0, len(words), 6))
+    wrapped = wrapped.replace("License as", "Licence as")  # one word differs
+    parts = [prose, mit, prose * 3, mit, mit, prose, cc, prose, "\n", wrapped, "\n", prose]
+    scanner = licenses.TemplateScanner()
+    text = " ".join(parts)
+    got = [r for r in scanner.scan(text) if r[-1]]
+    assert [r[2] for r in got] == ["MIT", "MIT", "MIT", "CC-BY-4.0", "GPL-3.0-notice"]
+    assert [text[r[0]:r[0] + r[1]] for r in got[:4]] == [mit[:-1]] * 3 + [cc[:-1]]
+    assert got[-1][5:7] == (["license"], ["licence"])
+    assert [r[-1] for r in scanner.scan(prose + "No license is given. " + prose)] == [False]
+
+
 def test_licenses_find_every_notice(spark):
     texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = sum(t in line for (x,) in texts.select("text").collect() for line in x.split("\n")
