@@ -95,17 +95,18 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary, sal
 
 
 def cut_documents(docs: DataFrame, path: str, end_id: int = 0, window: int = WINDOW,
-                  digest: bool = False) -> DataFrame:
+                  digest: bool = False, caches: tuple[int | None, int | None] = (None, None)) -> DataFrame:
     """``(doc_id, start, length, doc_tokens, ids, salt)``: whole windows and one rest per document.
 
     ``ids`` are little-endian unsigned 32-bit ids; with ``digest`` a column ``ids_crc32`` (long)
-    stands in their place, for callers that need no more of them.
+    stands in their place, for callers that need no more of them.  ``caches``: most units and pieces
+    that the tokenizer remembers, where not the usual ones.
     """
     schema = PIECES.replace("ids binary", "ids_crc32 long") if digest else PIECES
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, nth = tokenizer(path), 0
+        tok, nth = tokenizer(path, *caches), 0
         for b in (part for batch in batches for part in chunks(batch, "text", 1 << 20, clear=False)):
             rows = ([], [], [], [], [], [])
             for doc, ids in zip(b.column(0).to_pylist(), tok.encode([x or "" for x in b.column(1).to_pylist()])):
