@@ -10,18 +10,19 @@ of the plain split.
 
 from __future__ import annotations
 
+import contextlib
 import functools
-import itertools
 import json
 import unicodedata
+from collections.abc import Callable
 
 import regex
 
 from .textvec import CACHES
 
-#: Entries of the caches of units and of pieces.  Full caches keep what is in use (units of the texts
-#: at hand, then newer ones; pieces looked up since the last cut), which changes the speed and not the ids.
-CACHE_UNITS, CACHE_PIECES = 100_000, 500_000
+#: Entries of the caches of units and of pieces.  Full caches keep what is in use (what was looked up
+#: since the last turn), which changes the speed and not the ids; a cache outgrows its size by one text.
+CACHE_UNITS, CACHE_PIECES = 300_000, 500_000
 
 #: fixed values: the split patterns of the two vocabularies (their files and README)
 BYTE_LEVEL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -61,8 +62,8 @@ class UnitTokenizer:
         self.most = units or CACHE_UNITS, pieces or CACHE_PIECES
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.first = UnitCache(self._unit, "", self.keeps_space, self.most[0])
+        self.later = UnitCache(self._unit, " ", self.keeps_space, self.most[0])
         self.newline = self._unit("\n")
 
     def _piece(self, piece: str) -> bytes:
@@ -94,64 +95,54 @@ class UnitTokenizer:
             return self._piece(space + unit[:-1]) + self._piece(unit[-1])
         return b"".join([self._piece(p) for p in self.pattern.findall(space + unit)])
 
-    def _learn(self, cache: dict[str, bytes], units: set[str], prefix: str = "") -> dict[str, bytes]:
-        missing = units.difference(cache)
-        if len(cache) + len(missing) > self.most[0]:
-            cache = _in_use(cache, units)
-        for u in missing:
-            cache[u] = self._unit(u, prefix)
-        return cache
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        part: list[str] = []
-        size = 0
-        for t in texts:
-            part.append(t)
-            size += len(t)
-            if size > 4_000_000:
-                out += self._encode(part)
-                part, size = [], 0
-        return out + self._encode(part) if part else out
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        if not self.keeps_space:
-            split = [t.replace("\n", " ").split(" ") for t in texts]
-            self.first = self._learn(self.first, set().union(*split))
-            get = self.first.__getitem__
-            return [b"".join(map(get, s)) for s in split]
-        plain: list[list[list[str]] | None] = []
-        heads: set[str] = set()
-        units: set[str] = set()
+        if self.keeps_space:
+            return [self._spaced(t) for t in texts]
+        get, out = self.first.__getitem__, []
         for t in texts:
-            if "  " in t or "\n\n" in t or " \n" in t or "\n " in t:
-                plain.append(None)
-                continue
-            lines = [x.split(" ") for x in t.split("\n")]
-            heads.update([x[0] for x in lines])
-            for x in lines:
-                units.update(x[1:])
-            plain.append(lines)
-        odd = {u for u in heads | units if u and u.split() != [u]}  # other white space inside
-        split = {i: BYTE_LEVEL.findall(t) for i, t in enumerate(texts)
-                 if plain[i] is None or odd and any(not odd.isdisjoint(x) for x in plain[i])}
-        self.first = self._learn(self.first, heads)
-        self.later = self._learn(self.later, units, " ")
-        first, later, sep, out = self.first, self.later.__getitem__, self.newline, []
-        for i in range(len(texts)):
-            if i in split:
-                out.append(b"".join([self._piece(u) for u in split[i]]))
-            else:
-                out.append(sep.join([first[x[0]] + b"".join(map(later, x[1:])) for x in plain[i]]))
+            out.append(b"".join(map(get, t.replace("\n", " ").split(" "))))
+            self.first.turn()
         return out
 
+    def _spaced(self, text: str) -> bytes:
+        """Ids of one text where white space is kept."""
+        first, later = self.first, self.later
+        first.turn()
+        later.turn()
+        if not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text):
+            get, lines = later.__getitem__, []
+            with contextlib.suppress(TypeError):  # a unit with other white space inside has no ids
+                for line in text.split("\n"):
+                    head, *rest = line.split(" ")
+                    lines.append(first[head] + b"".join(map(get, rest)))
+                return self.newline.join(lines)
+        return b"".join([self._piece(u) for u in BYTE_LEVEL.findall(text)])
+
+
+class UnitCache(dict):
+    """Ids by unit, learnt at the first look-up.
+
+    Two generations of ``most / 2`` entries: ``turn`` begins a new one where this one is full, and
+    what is looked up again moves over, so units in use stay.  A unit of byte-level vocabularies
+    with white space other than its leading blank has no ids of its own and is kept as None.
+    """
+
+    def __init__(self, learn: Callable[[str, str], bytes], prefix: str, whole: bool, most: int):
+        super().__init__()
+        self.learn, self.prefix, self.whole, self.most = learn, prefix, whole, most
+        self.older: dict[str, bytes | None] = {}
+
+    def __missing__(self, unit: str) -> bytes | None:
+        ids = self.older.get(unit)
+        if ids is None and not (self.whole and unit and unit.split() != [unit]):
+            ids = self.learn(unit, self.prefix)
+        self[unit] = ids
+        return ids
 
-def _in_use(cache: dict[str, bytes], units: set[str]) -> dict[str, bytes]:
-    """The entries of these units, and newer others up to half of the cache."""
-    kept = {u: cache[u] for u in units if u in cache}
-    for u in itertools.islice(reversed(cache), max(0, len(cache) // 2 - len(kept))):
-        kept[u] = cache[u]
-    return kept
+    def turn(self) -> None:
+        if len(self) > self.most // 2:
+            self.older = dict(self)
+            self.clear()
 
 
 @functools.lru_cache(maxsize=1)
