@@ -15,6 +15,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,19 +65,38 @@ def _nearest_expr(features: str | Column, centers: Centers) -> Column:
 UDF_BLOCK = 4_000_000
 
 
+def _block_nearest(x: np.ndarray, cmat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    dist = np.zeros((x.shape[0], cmat.shape[0]))
+    # accumulate coordinate by coordinate, the same order as ``sqdist``
+    for j in range(cmat.shape[1]):
+        diff = x[:, j:j + 1] - cmat[None, :, j]
+        dist += diff * diff
+    # first minimum: lowest index on ties; a NaN distance is never the nearest, as in the expression
+    cid = np.argmin(np.where(np.isnan(dist), np.inf, dist), axis=1)
+    return dist[np.arange(len(cid)), cid], cid
+
+
+def batch_nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distance to, and index of, the nearest centre of each row, block by block."""
+    rows = max(1, UDF_BLOCK // len(centers))
+    parts = [_block_nearest(x[i:i + rows], centers) for i in range(0, len(x), rows)] or [_block_nearest(x, centers)]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def feature_matrix(col: pa.Array, dim: int) -> np.ndarray:
+    """The rows of an Arrow list column as a matrix; a vector of another length is an error."""
+    size = col.value_lengths()
+    if col.null_count or len(col) and (pc.min(size).as_py() != dim or pc.max(size).as_py() != dim):
+        raise ValueError(f"expected {dim} coordinates")
+    return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), dim)
+
+
 def _nearest_udf(features: str | Column, centers: Centers) -> Column:
     cmat = np.asarray(centers, dtype=np.float64)
     rows_per_block = max(1, UDF_BLOCK // cmat.shape[0])
 
     def block(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        dist = np.zeros((x.shape[0], cmat.shape[0]))
-        # accumulate coordinate by coordinate, the same order as ``sqdist``
-        for j in range(cmat.shape[1]):
-            diff = x[:, j:j + 1] - cmat[None, :, j]
-            dist += diff * diff
-        # first minimum: lowest index on ties; a NaN distance is never the nearest, as in the expression
-        cid = np.argmin(np.where(np.isnan(dist), np.inf, dist), axis=1)
-        return dist[np.arange(len(cid)), cid], cid
+        return _block_nearest(x, cmat)
 
     @F.pandas_udf(NEAREST_TYPE)
     def nearest_batch(feat: pd.Series) -> pd.DataFrame:

@@ -1,28 +1,39 @@
-"""Standard k-means: pyspark.ml training (k-means|| init) and Lloyd from given centres."""
+"""Standard k-means: a reproducible k-means|| start, Lloyd steps, and pyspark.ml training."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import Centers
+from ..functions.geometry import UNROLL_LIMIT, Centers
 from ..sources.points import persist_points
+from .moments import merged, moment_rows
 from .objective import assign
+from .seeding import seed_centers
 
 # fixed values of the training call: init mode, seed and tolerance
 INIT_MODE = "k-means||"
 SEED = 1
 TOL = 1e-4
-# beyond this dimension the per-coordinate means are a long aggregation
-WIDE_DIM_LIMIT = 48
+#: The start of this library: the same centres whatever the partitioning.
+HASHED = "hashed"
 
 
-def kmeans_centers(points: DataFrame, k: int, max_iter: int, tol: float = TOL,
-                   seed: int = SEED, init_mode: str = INIT_MODE) -> list[tuple[float, ...]]:
-    """Centres from ``pyspark.ml.clustering.KMeans``; ``max_iter=0`` gives the initial centres only.
+def kmeans_centers(points: DataFrame, k: int, max_iter: int, tol: float = TOL, seed: int = SEED,
+                   init_mode: str = HASHED, key: Column | None = None) -> list[tuple[float, ...]]:
+    """``k`` centres after at most ``max_iter`` Lloyd steps; ``max_iter=0`` gives the starting centres.
 
-    May return fewer than ``k`` centres when there are fewer distinct points.
+    ``init_mode='hashed'`` starts from ``seeding.seed_centers`` (``key`` goes there); ``'k-means||'`` and
+    ``'random'`` train with ``pyspark.ml``, whose start depends on the partitioning.  There may be
+    fewer than ``k`` centres when there are fewer distinct points.
     """
+    if init_mode != HASHED:
+        return _trained(points, k, max_iter, tol, seed, init_mode)
+    starts = seed_centers(points, k, seed, key=key)
+    return lloyd(points, starts, max_iter, tol) if starts else []
+
+
+def _trained(points: DataFrame, k: int, max_iter: int, tol: float, seed: int, init_mode: str) -> list[tuple[float, ...]]:
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
@@ -44,15 +55,11 @@ def lloyd_step(points: DataFrame, centers: Centers) -> list[tuple[float, ...]]:
     dim = len(centers[0])
     f = F.col("features")
     out = [tuple(float(v) for v in c) for c in centers]
-    if dim > WIDE_DIM_LIMIT:
-        # long form: the generated code does not grow with d
-        rows = (assign(points, centers).select("cid", F.posexplode("features").alias("j", "v"))
-                .groupBy("cid", "j").agg(F.avg("v").alias("m")).collect())  # K x d rows
-        means: dict[int, list[float]] = {}
-        for r in rows:
-            means.setdefault(r["cid"], [0.0] * dim)[r["j"]] = float(r["m"])
-        for cid, m in means.items():
-            out[cid] = tuple(m)
+    if len(centers) * dim > UNROLL_LIMIT:
+        # at most one row per centre and task leaves Python, whatever the dimension
+        alike = points.select("features", F.lit("A").alias("grp"))
+        for r in merged(moment_rows(alike, centers)).collect():  # at most K rows
+            out[r["cid"]] = tuple(c + s / r["n"] for c, s in zip(centers[r["cid"]], r["s1"]))
         return out
     rows = (assign(points, centers).groupBy("cid")
             .agg(*[F.avg(f[j]).alias(f"m{j}") for j in range(dim)])

@@ -8,6 +8,7 @@ later step are read from the previous step's CTE with scalar subqueries.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from .tables import P2_CENTERS, P2_FAR_CENTER, P2_FAR_CENTERS, P64_DIM, PRICE_SCALE, UNBALANCED_QTY
@@ -230,6 +231,46 @@ def lloyd_sql(dim: int, k: int, first: CenterRef, iters: int,
     return ctes, last
 
 
+# ---------------------------------------------------------------- k-means|| with hashed draws
+
+def seeds_sql(k: int, seed: int = 1, rounds: int = 2, factor: float = 2.0) -> tuple[list[str], str]:
+    """CTEs of the seeding over ``lineitem``; the last one holds (cid, c0, c1) in the order picked."""
+    def u(axis: str) -> str:
+        return f"CAST(CAST('0x' || substr(md5('{seed}-{axis}-' || key), 1, 13) AS BIGINT) AS DOUBLE) / {lit(2.0 ** 52)}"
+
+    def square(a: str, b: str) -> str:
+        return dist([f"{a}.x0", f"{a}.x1"], [f"{b}.x0", f"{b}.x1"])
+
+    def picked(i: int) -> float:
+        return int(hashlib.md5(f"{seed}-pick{i}".encode()).hexdigest()[:13], 16) / 2.0 ** 52
+
+    ctes = [f"""uq AS MATERIALIZED (SELECT l_quantity AS x0, l_extendedprice / {lit(PRICE_SCALE)} AS x1,
+        CAST(l_quantity AS BIGINT) || '-' || CAST(round(l_extendedprice * 100) AS BIGINT) AS key, count(*) AS n
+        FROM lineitem GROUP BY ALL)""",
+            f"cand0 AS MATERIALIZED (SELECT 0 AS pos, x0, x1 FROM uq ORDER BY {u('draw0')}, x0, x1 LIMIT 1)"]
+    for r in range(1, rounds + 1):
+        ctes.append(f"near{r} AS MATERIALIZED (SELECT q.x0, q.x1, q.key, any_value(q.n) AS n, min({square('q', 'c')}) AS d2 "
+                    f"FROM uq q CROSS JOIN cand{r - 1} c GROUP BY q.x0, q.x1, q.key)")
+        ctes.append(f"new{r} AS MATERIALIZED (SELECT DISTINCT x0, x1 FROM near{r} "
+                    f"WHERE {u(f'draw{r}')} < {lit(factor * k)} * d2 / (SELECT sum(n * d2) FROM near{r}) "
+                    f"AND (x0, x1) NOT IN (SELECT (x0, x1) FROM cand{r - 1}))")
+        ctes.append(f"cand{r} AS MATERIALIZED (SELECT * FROM cand{r - 1} UNION ALL SELECT (SELECT max(pos) FROM cand{r - 1}) + "
+                    f"row_number() OVER (ORDER BY x0, x1) AS pos, x0, x1 FROM new{r})")
+    last = f"cand{rounds}"
+    ctes.append(f"""cw AS MATERIALIZED (SELECT c.pos, c.x0, c.x1, coalesce(w.w, 0) AS w FROM {last} c LEFT JOIN
+        (SELECT pos, sum(n) AS w FROM (SELECT q.x0, q.x1, q.key, any_value(q.n) AS n, arg_min(c.pos, ({square('q', 'c')}, c.pos)) AS pos
+         FROM uq q CROSS JOIN {last} c GROUP BY q.x0, q.x1, q.key) GROUP BY pos) w ON c.pos = w.pos)""")
+    for i in range(k):
+        mass = "w" if i == 0 else f"w * (SELECT min({square('m', 'p')}) FROM pk{i - 1} p)"
+        before = f"SELECT * FROM pk{i - 1} UNION ALL " if i else ""
+        ctes.append(f"""mass{i} AS MATERIALIZED (SELECT pos, x0, x1, sum(mass) OVER (ORDER BY pos) AS up_to, sum(mass) OVER () AS total
+            FROM (SELECT m.pos, m.x0, m.x1, CAST({mass} AS DOUBLE) AS mass FROM cw m))""")
+        ctes.append(f"""pk{i} AS MATERIALIZED ({before}SELECT {i} AS cid, x0, x1 FROM mass{i} WHERE pos =
+            (SELECT min(pos) FROM mass{i} WHERE up_to > {lit(picked(i))} * total))""")
+    ctes.append(f"seeds AS MATERIALIZED (SELECT CAST(cid AS INTEGER) AS cid, x0 AS c0, x1 AS c1 FROM pk{k - 1})")
+    return ctes, "seeds"
+
+
 # ---------------------------------------------------------------- the oracle set
 
 # fixed values: the return flags of the tables
@@ -276,6 +317,20 @@ def _centers_long_sql(name: str, dim: int) -> str:
     return parts
 
 
+def _kept(ctes: Sequence[str]) -> list[str]:
+    """The same CTEs, each computed once."""
+    return [c if " AS MATERIALIZED (" in c or "_ls(" in c else c.replace(" AS (", " AS MATERIALIZED (", 1) for c in ctes]
+
+
+def _compared(standard: str, fair: str, k: int) -> str:
+    """Both objectives of two centre CTEs on the same points."""
+    evals = [assign_cte("es", "pts", 2, k, cte_centers(standard)), assign_cte("ef", "pts", 2, k, cte_centers(fair))]
+    return ",\n".join(evals) + "\n" + " UNION ALL ".join(
+        f"SELECT '{model}' AS model, {r6('sum(s) / sum(n)')} AS delta, {r6('max(s / n)')} AS phi FROM "
+        f"(SELECT grp, count(*) AS n, sum(d2) AS s FROM {pref} GROUP BY grp)"
+        for model, pref in (("standard", "es"), ("fair", "ef")))
+
+
 def oracle_sql() -> dict[str, str]:
     words_one = f"WITH {LINES.strip()}\nSELECT word, count(*) AS n FROM toks GROUP BY word"
     out: dict[str, str] = {
@@ -343,18 +398,19 @@ def oracle_sql() -> dict[str, str]:
         seg_ctes += ctes
         seg_parts.append(f"SELECT '{flag}' AS l_returnflag, cid, {r6('c0')} AS c0, {r6('c1')} AS c1 FROM {last}")
     out["fair_lloyd_by_segment"] = with_(seg_ctes, " UNION ALL ".join(seg_parts))
+    first, seeds = seeds_sql(5)
+    out["kmeans_init"] = with_(first, round_centers(seeds, 2))
+    ctes, last = lloyd_sql(2, 5, cte_centers(seeds), 5)
+    out["kmeans_standard"] = with_([_p2(), *first, *_kept(ctes)], round_centers(last, 2))
+    std, std_last = lloyd_sql(2, 5, cte_centers(seeds), 2, tag="std_")
+    fct, fct_last = fair_lloyd_sql(2, 5, cte_centers(seeds), 2, tag="fair_")
+    out["fair_vs_standard_kmeans"] = with_([_p2(), *first, *_kept([*std, *fct])], "") .rstrip() + ",\n" + _compared(std_last, fct_last, 5)
     ctes, last = lloyd_sql(2, k, literal_centers(P2_CENTERS), 2)
     out["lloyd_standard_2"] = with_([_p2(), *ctes], round_centers(last, 2))
     # both centre sets evaluated on the same points
     lctes, llast = lloyd_sql(2, k, literal_centers(P2_CENTERS), 2, tag="std_")
     fctes, flast = fair_lloyd_sql(2, k, literal_centers(P2_CENTERS), 2, tag="fair_")
-    evals = [assign_cte("es", "pts", 2, k, cte_centers(llast)),
-             assign_cte("ef", "pts", 2, k, cte_centers(flast))]
-    body = " UNION ALL ".join(
-        f"SELECT '{model}' AS model, {r6('sum(s) / sum(n)')} AS delta, {r6('max(s / n)')} AS phi FROM "
-        f"(SELECT grp, count(*) AS n, sum(d2) AS s FROM {pref} GROUP BY grp)"
-        for model, pref in (("standard", "es"), ("fair", "ef")))
-    out["fair_vs_standard"] = with_([_p2(), *lctes, *fctes, *evals], body)
+    out["fair_vs_standard"] = with_([_p2(), *lctes, *fctes], "").rstrip() + ",\n" + _compared(llast, flast, k)
     out["empty_center_repair"] = _repair_sql([P2_FAR_CENTER])
     out["empty_center_repair_many"] = _repair_sql(P2_FAR_CENTERS)
     out["kmeans_properties"] = ("SELECT CAST(5 AS INTEGER) AS n_centers, count(*) AS n_points, true AS costs, "

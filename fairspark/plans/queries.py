@@ -17,6 +17,7 @@ from .tables import P2_CENTERS, P2_FAR_CENTER
 
 KEYS = ("l_orderkey", "l_linenumber")
 SALTS = 8
+SEEDED_STEPS = 5
 
 
 def r6(c) -> F.Column:
@@ -231,22 +232,33 @@ def synth(spark, d):
     return synth_points_of(lines, KEYS, 5, seed=42)
 
 
+def _seeded_points(spark, d):
+    """The 2-d points with their draw key: quantity and price in cents, as text."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long").cast("string")
+    key = F.concat_ws("-", F.col("l_quantity").cast("long").cast("string"), cents)
+    return tables.p2_points(spark, d, keep=("l_quantity", "l_extendedprice")).select(
+        "features", "grp", key.alias("name"))
+
+
+def _seeds(spark, d):
+    return kmeans.kmeans_centers(_seeded_points(spark, d), 5, 0, key=F.col("name"))
+
+
 def kmeans_standard(spark, d):
-    pts = tables.p2_points(spark, d).select("features", "grp")
-    return _centers_df(spark, kmeans.kmeans_centers(pts, 5, 10))
+    return _centers_df(spark, kmeans.lloyd(tables.p2_points(spark, d), _seeds(spark, d), SEEDED_STEPS, tol=0.0))
 
 
 def kmeans_init(spark, d):
-    pts = tables.p2_points(spark, d).select("features", "grp")
-    return _centers_df(spark, kmeans.kmeans_centers(pts, 5, 0))
+    return _centers_df(spark, _seeds(spark, d))
 
 
 def fair_vs_standard_kmeans(spark, d):
     """The comparison of the fair-clustering program: trained standard centres
-    against fair Lloyd from k-means|| initial centres (2 steps)."""
+    against fair Lloyd from the same k-means|| start (2 steps each)."""
     pts = tables.p2_points(spark, d).select("features", "grp")
-    std = kmeans.kmeans_centers(pts, 5, 2)
-    fc = fair.fair_lloyd(pts, k=5, max_iter=2)
+    seeds = _seeds(spark, d)
+    std = kmeans.lloyd(pts, seeds, 2)
+    fc = fair.fair_lloyd(pts, init_centers=seeds, max_iter=2)
     return objective.compare(pts, {"standard": std, "fair": fc}).select(
         "model", r6("delta").alias("delta"), r6("phi").alias("phi"))
 
