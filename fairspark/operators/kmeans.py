@@ -58,7 +58,7 @@ def lloyd_step(points: DataFrame, centers: Centers) -> list[tuple[float, ...]]:
     if len(centers) * dim > UNROLL_LIMIT:
         # at most one row per centre and task leaves Python, whatever the dimension
         alike = points.select("features", F.lit("A").alias("grp"))
-        for r in merged(moment_rows(alike, centers)).collect():  # at most K rows
+        for r in merged(moment_rows(alike, centers), dim=dim).collect():  # at most K rows
             out[r["cid"]] = tuple(c + s / r["n"] for c, s in zip(centers[r["cid"]], r["s1"]))
         return out
     rows = (assign(points, centers).groupBy("cid")

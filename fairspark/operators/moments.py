@@ -74,13 +74,21 @@ def is_group_b(col: pa.Array) -> np.ndarray:
     return which[codes.indices.to_numpy(zero_copy_only=False)]
 
 
-def merged(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+#: Up to this many coordinates the sums are columns of one aggregation.
+WIDE_DIM_LIMIT = 24
+
+
+def merged(rows: DataFrame, by: tuple[str, ...] = (), dim: int | None = None) -> DataFrame:
     """One moment row per (*by, cid, grp).
 
-    The rows are few (2 K a task and model), so each coordinate becomes a row of its own before the
-    sum and the plan does not grow with the dimension.
+    The rows are few (2 K a task and model).  With ``dim`` of at most ``WIDE_DIM_LIMIT`` each coordinate
+    is a column; else it becomes a row before the sum, so the plan does not grow with the dimension.
     """
     keys = [*by, "cid", "grp"]
+    if dim is not None and dim <= WIDE_DIM_LIMIT:
+        wide = rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("s2").alias("s2"),
+                                       *[F.sum(F.col("s1")[j]).alias(f"_s{j}") for j in range(dim)])
+        return wide.select(*keys, "n", F.array(*[F.col(f"_s{j}") for j in range(dim)]).alias("s1"), "s2")
     per_coord = rows.select(*keys, "n", "s2", F.posexplode("s1").alias("j", "v")).groupBy(*keys, "j").agg(
         F.sum("v").alias("v"), F.sum("n").alias("n"), F.sum("s2").alias("s2"))
     return per_coord.groupBy(*keys).agg(
@@ -94,6 +102,6 @@ def center_group_stats(points: DataFrame, centers: Centers) -> DataFrame:
     cs = [[float(v) for v in c] for c in centers]
     all_centers = F.array(*[F.array(*[F.lit(v) for v in c]) for c in cs])
     own = F.element_at(all_centers, F.col("cid") + 1)
-    rows = merged(moment_rows(points, centers)).withColumn("_c", own)
+    rows = merged(moment_rows(points, centers), dim=len(cs[0])).withColumn("_c", own)
     return rows.select("cid", "grp", "n", F.expr("zip_with(s1, _c, (s, c) -> s + n * c)").alias("sums"),
                        F.expr("s2 - aggregate(s1, 0D, (acc, s) -> acc + s * s) / n").alias("cost"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 
-from .tables import P2_CENTERS, P2_FAR_CENTER, P2_FAR_CENTERS, P64_DIM, PRICE_SCALE, UNBALANCED_QTY
+from .tables import OFF_HALVES, P2_CENTERS, P2_FAR_CENTER, P2_FAR_CENTERS, P64_DIM, PART_CENTERS, PRICE_SCALE, UNBALANCED_QTY
 
 def lit(v: float) -> str:
     return f"CAST({float(v)!r} AS DOUBLE)"
@@ -291,24 +291,77 @@ def _one_step(centers=P2_CENTERS) -> tuple[list[str], str]:
     return ctes + step, last
 
 
-def _repair_sql(fars) -> str:
+def _repair_ctes(fars, tag: str = "", src: str = "pts") -> tuple[list[str], str]:
+    """One fair step over ``src`` whose far centres are repaired one after the other."""
     centers = [*P2_CENTERS, *fars]
     k = len(centers)
-    ctes = _p2_assigned(centers)
-    last = "a"
+    ctes = [assign_cte(f"{tag}a", src, 2, k, literal_centers(centers))]
+    last = f"{tag}a"
     for far in range(len(P2_CENTERS), k):
         d_far = dist(["x0", "x1"], [lit(v) for v in centers[far]])
-        new = f"ar{far}"
-        ctes.append(f"sizes{far} AS (SELECT cid, count(*) AS n FROM {last} GROUP BY cid)")
+        new, sizes, donor = f"{tag}ar{far}", f"{tag}sizes{far}", f"{tag}donor{far}"
+        ctes.append(f"{sizes} AS (SELECT cid, count(*) AS n FROM {last} GROUP BY cid)")
         ctes.append(
-            f"donor{far} AS (SELECT a.x0, a.x1, a.grp, a.cid FROM {last} a JOIN sizes{far} s ON a.cid = s.cid "
+            f"{donor} AS (SELECT a.x0, a.x1, a.grp, a.cid FROM {last} a JOIN {sizes} s ON a.cid = s.cid "
             f"WHERE s.n > 1 AND a.cid < {len(P2_CENTERS)} ORDER BY {d_far}, a.x0, a.x1, a.grp, a.cid LIMIT 1)")
         ctes.append(
-            f"{new} AS (SELECT a.x0, a.x1, a.grp, CASE WHEN EXISTS (SELECT 1 FROM donor{far} d WHERE d.x0 = a.x0 "
+            f"{new} AS (SELECT a.x0, a.x1, a.grp, CASE WHEN EXISTS (SELECT 1 FROM {donor} d WHERE d.x0 = a.x0 "
             f"AND d.x1 = a.x1 AND d.grp = a.grp AND d.cid = a.cid) THEN {far} ELSE a.cid END AS cid FROM {last} a)")
         last = new
-    step, last = fair_step_ctes("s", last, 2, k)
-    return with_(ctes + step, round_centers(last, 2))
+    step, last = fair_step_ctes(f"{tag}s", last, 2, k)
+    return ctes + step, last
+
+
+def _repair_sql(fars) -> str:
+    ctes, last = _repair_ctes(fars)
+    return with_([_p2(), *ctes], round_centers(last, 2))
+
+
+def _models_sql(by: str, centers, iters: int, steps: int = 10) -> str:
+    """Fair steps of one model per value of ``by``, without repair: every CTE carries the key.
+
+    A centre without points, and all centres of a model without one of the groups, keep their place.
+    """
+    k = len(centers)
+    ctes = [f"pts AS MATERIALIZED (SELECT {by} AS seg, l_quantity AS x0, l_extendedprice / {lit(PRICE_SCALE)} AS x1, "
+            f"{P2_GROUP['unbalanced']} AS grp FROM lineitem)",
+            "k0 AS MATERIALIZED (SELECT seg, " + ", ".join(f"{lit(v)} AS c{i}_{j}" for i, c in enumerate(centers) for j, v in enumerate(c))
+            + " FROM (SELECT DISTINCT seg FROM pts))"]
+    for it in range(iters):
+        p = f"t{it}"
+        ds = ", ".join(f"{dist(['p.x0', 'p.x1'], [f'k.c{i}_0', f'k.c{i}_1'])} AS d{i}" for i in range(k))
+        case = "CASE " + " ".join(f"WHEN d{i} = least({', '.join(f'd{j}' for j in range(k))}) THEN {i}" for i in range(k)) + " END"
+        ctes.append(f"{p}a AS MATERIALIZED (SELECT seg, x0, x1, grp, {case} AS cid FROM (SELECT p.*, {ds} FROM pts p JOIN k{it} k ON p.seg = k.seg))")
+        ctes.append(f"{p}g AS MATERIALIZED (SELECT seg, cid, count(*) FILTER (WHERE grp = 'A') AS na, count(*) FILTER (WHERE grp = 'B') AS nb, "
+                    + ", ".join(f"avg(x{j}) FILTER (WHERE grp = '{g.upper()}') AS m{g}{j}" for g in "ab" for j in (0, 1)) + f" FROM {p}a GROUP BY seg, cid)")
+        ctes.append(f"{p}m AS MATERIALIZED (SELECT seg, cid, na, nb, " + ", ".join(
+            f"coalesce(m{g}{j}, m{o}{j}) AS m{g}{j}" for g, o in ("ab", "ba") for j in (0, 1)) + f" FROM {p}g)")
+        ctes.append(f"{p}w AS MATERIALIZED (SELECT seg, CAST(sum(na) AS DOUBLE) AS ta, CAST(sum(nb) AS DOUBLE) AS tb FROM {p}m GROUP BY seg)")
+        ctes.append(f"{p}f AS MATERIALIZED (SELECT a.seg, "
+                    f"sum(CASE WHEN a.grp = 'A' THEN {dist(['a.x0', 'a.x1'], ['m.ma0', 'm.ma1'])} END) / any_value(w.ta) AS fa, "
+                    f"sum(CASE WHEN a.grp = 'B' THEN {dist(['a.x0', 'a.x1'], ['m.mb0', 'm.mb1'])} END) / any_value(w.tb) AS fb "
+                    f"FROM {p}a a JOIN {p}m m ON a.seg = m.seg AND a.cid = m.cid JOIN {p}w w ON a.seg = w.seg GROUP BY a.seg)")
+        per = ", ".join(f"coalesce(max(CASE WHEN cid = {i} THEN na / ta END), 0) AS a{i}, coalesce(max(CASE WHEN cid = {i} THEN nb / tb END), 0) AS b{i}, "
+                        f"coalesce(max(CASE WHEN cid = {i} THEN sqrt({dist(['ma0', 'ma1'], ['mb0', 'mb1'])}) END), 0) AS l{i}" for i in range(k))
+        ctes.append(f"{p}q AS MATERIALIZED (SELECT m.seg, {per}, any_value(f.fa) AS fa, any_value(f.fb) AS fb FROM {p}m m JOIN {p}w w ON m.seg = w.seg "
+                    f"JOIN {p}f f ON m.seg = f.seg WHERE ta > 0 AND tb > 0 GROUP BY m.seg)")
+
+        def x_of(i: int, g: str = "g") -> str:
+            return f"CASE WHEN a{i} + b{i} = 0 THEN {lit(0.0)} ELSE ({lit(1.0)} - {g}) * b{i} * l{i} / ({g} * a{i} + ({lit(1.0)} - {g}) * b{i}) END"
+
+        fa = " + ".join(["fa", *[f"a{i} * ({x_of(i)}) * ({x_of(i)})" for i in range(k)]])
+        fb = " + ".join(["fb", *[f"b{i} * (l{i} - ({x_of(i)})) * (l{i} - ({x_of(i)}))" for i in range(k)]])
+        ctes.append(f"{p}_ls(seg, t, g, pw, done, ge) AS (SELECT seg, 0, {lit(0.5)}, {lit(0.5)}, false, CAST(NULL AS DOUBLE) FROM {p}q UNION ALL "
+                    f"SELECT seg, t + 1, CASE WHEN va = vb THEN g WHEN va > vb THEN g + pw / 2 ELSE g - pw / 2 END, pw / 2, va = vb, g FROM "
+                    f"(SELECT s.*, {fa} AS va, {fb} AS vb FROM {p}_ls s JOIN {p}q q ON s.seg = q.seg WHERE t < {steps} AND NOT done))")
+        ctes.append(f"{p}e AS MATERIALIZED (SELECT seg, arg_max(ge, t) AS ge FROM {p}_ls GROUP BY seg)")
+        new = ", ".join(f"coalesce(max(CASE WHEN m.cid = {i} THEN CASE WHEN l{i} = 0 THEN ma{j} ELSE "
+                        f"((l{i} - ({x_of(i, 'ge')})) * ma{j} + ({x_of(i, 'ge')}) * mb{j}) / l{i} END END), any_value(k.c{i}_{j})) AS c{i}_{j}"
+                        for i in range(k) for j in (0, 1))
+        ctes.append(f"k{it + 1} AS MATERIALIZED (SELECT k.seg, {new} FROM k{it} k LEFT JOIN (SELECT * FROM {p}q JOIN {p}e USING (seg)) q "
+                    f"ON k.seg = q.seg LEFT JOIN {p}m m ON q.seg = m.seg GROUP BY k.seg)")
+    body = " UNION ALL ".join(f"SELECT seg AS {by}, CAST({i} AS INTEGER) AS cid, " + ", ".join(f"{r6(f'c{i}_{j} + {lit(OFF_HALVES)}')} AS c{j}" for j in (0, 1)) + f" FROM k{iters}" for i in range(k))
+    return with_(ctes, body)
 
 
 def _centers_long_sql(name: str, dim: int) -> str:
@@ -405,6 +458,14 @@ def oracle_sql() -> dict[str, str]:
     std, std_last = lloyd_sql(2, 5, cte_centers(seeds), 2, tag="std_")
     fct, fct_last = fair_lloyd_sql(2, 5, cte_centers(seeds), 2, tag="fair_")
     out["fair_vs_standard_kmeans"] = with_([_p2(), *first, *_kept([*std, *fct])], "") .rstrip() + ",\n" + _compared(std_last, fct_last, 5)
+    seg_ctes, seg_parts = [], []
+    for flag in RETURN_FLAGS:
+        seg_ctes.append(f"p{flag} AS ({p2_points_sql()} WHERE l_returnflag = '{flag}')")
+        ctes, last = _repair_ctes(P2_FAR_CENTERS if flag == "N" else [], f"m{flag}_", f"p{flag}")
+        seg_ctes += ctes
+        seg_parts.append(f"SELECT '{flag}' AS l_returnflag, cid, {r6('c0')} AS c0, {r6('c1')} AS c1 FROM {last}")
+    out["fair_lloyd_by_segment_repair"] = with_(seg_ctes, " UNION ALL ".join(seg_parts))
+    out["fair_lloyd_by_part"] = _models_sql("l_partkey", PART_CENTERS, 2)
     ctes, last = lloyd_sql(2, k, literal_centers(P2_CENTERS), 2)
     out["lloyd_standard_2"] = with_([_p2(), *ctes], round_centers(last, 2))
     # both centre sets evaluated on the same points
@@ -427,6 +488,10 @@ def oracle_sql() -> dict[str, str]:
     out["cluster_group_counts_p64"] = base64 + (
         "SELECT cid, count(*) FILTER (WHERE grp = 'A') AS n_a, count(*) FILTER (WHERE grp = 'B') AS n_b "
         "FROM a GROUP BY cid")
+    sums = " UNION ALL ".join(f"SELECT cid, grp, count(*) AS n, {j} AS j, {r6(f'sum(x{j})')} AS total FROM a GROUP BY cid, grp" for j in range(P64_DIM))
+    out["cluster_group_sums_p64"] = base64 + sums
+    step, _ = fair_step_ctes("s", "a", P64_DIM, k64)
+    out["fair_fixed_costs_p64"] = with_([P64_CENTERS_CTE, p64, a64, *step], f"SELECT {r6('fa')} AS fixed_a, {r6('fb')} AS fixed_b FROM s_f")
     ctes, last = fair_lloyd_sql(P64_DIM, k64, p64_center, 2)
     out["fair_lloyd_2_p64"] = with_([P64_CENTERS_CTE, p64, *ctes], _centers_long_sql(last, P64_DIM))
     return out

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import fair, kmeans, objective, words
+from ..operators import fair, kmeans, models, moments, objective, words
 from ..sources.points import group_counts, parse_points
 from ..sources.synth import synth_points_of
 from . import tables
@@ -179,15 +179,38 @@ def fair_lloyd_2(spark, d):
                                               max_iter=2))
 
 
+def _start_models(pts, by, centers, extra=None, extra_for=None):
+    """One row per model and start centre; models whose key is ``extra_for`` have further ones."""
+    rows = lambda cs: F.array(*[F.struct(F.lit(i).alias("cid"), F.array(*[F.lit(v) for v in c]).alias("center"))
+                                for i, c in enumerate(cs)])
+    start = rows(centers) if extra is None else F.when(F.col(by) == extra_for, rows([*centers, *extra])).otherwise(rows(centers))
+    return pts.select(by).distinct().select(by, F.inline(start))
+
+
+def _models_out(df, by):
+    return df.select(by, "cid", r6(F.col("center")[0]).alias("c0"), r6(F.col("center")[1]).alias("c1"))
+
+
 def fair_lloyd_by_segment(spark, d):
     """Two fair steps of one model per return flag, all models in the same passes."""
     pts = tables.p2_points(spark, d, keep=("l_returnflag",))
-    flags = [r[0] for r in pts.select("l_returnflag").distinct().collect()]  # one row per flag
-    models = fair.fair_lloyd_by(pts, "l_returnflag", {f: P2_CENTERS for f in flags}, 2)
-    rows = [(f, i, *[float(v) for v in c]) for f, cs in models.items() for i, c in enumerate(cs)]
-    df = objective.literal_rows(spark, rows, ["l_returnflag", "cid", "c0", "c1"],
-                                ["string", "int", "double", "double"])
-    return df.select("l_returnflag", "cid", r6("c0").alias("c0"), r6("c1").alias("c1"))
+    out = models.fair_lloyd_models(pts, _start_models(pts, "l_returnflag", P2_CENTERS), "l_returnflag", 2)
+    return _models_out(out, "l_returnflag")
+
+
+def fair_lloyd_by_segment_repair(spark, d):
+    """The same, one step; the model of flag N starts with three far centres that want the same points."""
+    pts = tables.p2_points(spark, d, keep=("l_returnflag",))
+    start = _start_models(pts, "l_returnflag", P2_CENTERS, tables.P2_FAR_CENTERS, "N")
+    return _models_out(models.fair_lloyd_models(pts, start, "l_returnflag", 1), "l_returnflag")
+
+
+def fair_lloyd_by_part(spark, d):
+    """Two fair steps of one model per part, as many models as there are parts."""
+    pts = tables.p2_points(spark, d, keep=("l_partkey",))
+    start = _start_models(pts, "l_partkey", tables.PART_CENTERS)
+    out = models.fair_lloyd_models(pts, start, "l_partkey", 2, repair=False)
+    return out.select("l_partkey", "cid", *[r6(F.col("center")[j] + tables.OFF_HALVES).alias(f"c{j}") for j in (0, 1)])
 
 
 def lloyd_standard_2(spark, d):
@@ -287,6 +310,17 @@ def fair_lloyd_2_p64(spark, d):
                                                 max_iter=2))
 
 
+def cluster_group_sums_p64(spark, d):
+    stats = moments.center_group_stats(tables.p64_points(spark, d), tables.p64_centers(spark, d))
+    return stats.select("cid", "grp", "n", F.posexplode("sums").alias("j", "v")).select(
+        "cid", "grp", "n", "j", r6("v").alias("total"))
+
+
+def fair_fixed_costs_p64(spark, d):
+    stats = moments.center_group_stats(tables.p64_points(spark, d), tables.p64_centers(spark, d))
+    return fair.fixed_costs(stats).select(r6("fixed_a").alias("fixed_a"), r6("fixed_b").alias("fixed_b"))
+
+
 QUERIES = {
     "wc_num_docs": wc_num_docs,
     "wc_per_doc": wc_per_doc,
@@ -314,6 +348,8 @@ QUERIES = {
     "fair_lloyd_1": fair_lloyd_1,
     "fair_lloyd_2": fair_lloyd_2,
     "fair_lloyd_by_segment": fair_lloyd_by_segment,
+    "fair_lloyd_by_segment_repair": fair_lloyd_by_segment_repair,
+    "fair_lloyd_by_part": fair_lloyd_by_part,
     "lloyd_standard_2": lloyd_standard_2,
     "fair_vs_standard": fair_vs_standard,
     "empty_center_repair": empty_center_repair,
@@ -327,4 +363,6 @@ QUERIES = {
     "phi_objective_p64": phi_objective_p64,
     "cluster_group_counts_p64": cluster_group_counts_p64,
     "fair_lloyd_2_p64": fair_lloyd_2_p64,
+    "cluster_group_sums_p64": cluster_group_sums_p64,
+    "fair_fixed_costs_p64": fair_fixed_costs_p64,
 }

@@ -24,6 +24,10 @@ PRICE_SCALE = 1000.0
 UNBALANCED_QTY = 10.0
 # three centres whose nearest point is the same one
 P2_FAR_CENTERS = [(200.0, 200.0), (201.0, 201.0), (202.0, 202.0)]
+# start centres of the models of the parts
+PART_CENTERS = [(12.0, 15.0), (38.0, 55.0)]
+# added before rounding where values are means of few prices: those end in halves of the last place
+OFF_HALVES = 3.1e-7
 P64_DIM = 64
 
 
