@@ -12,6 +12,10 @@ previous and next factor: a start with a previous factor of ``LENGTH`` bytes has
 ``keep_first`` removes later copies and keeps the first (by id, then place); without it every copy
 goes.  Strings are judged on the input, matches never cross documents, and overlaps count.
 
+The same machinery finds repeated runs of words: with ``unit=WORD`` a text is the sequence of its
+words' 64-bit hashes, eight bytes each, and lengths count those bytes; a removed word goes with all its
+characters and the white space around a removed run stays.
+
 Defined results: null text is empty and texts under ``LENGTH`` bytes lose nothing; null ids come
 first; with ``keep_first`` rows equal in id and text are one document and keep the same bytes; an
 empty table gives no rows; extra columns are kept and ``spans`` and ``kept_bytes`` replaced.
@@ -29,9 +33,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import key_sketch, maybe_in, stage, table
-from .textvec import BYTE, U, chunks, flat, give_back, mix
+from .textvec import BYTE, U, Words, chunks, flat, give_back, mix
 
 LENGTH, GRAM = 400, 96
+#: Bytes of a unit of text: a byte as it is, or a word as its hash.
+BYTES, WORD = 1, 8
+#: Words of a passage that the pipeline's stage removes where it repeats.
+PASSAGE_WORDS = 50
 #: Contexts of a shard (under 1 MB of text).  An anchor with more classes than that is not sorted in
 #: one place: its strings are grouped one by one instead.
 SHARD_CONTEXTS = 1_500
@@ -50,6 +58,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
+def coded(buf: np.ndarray, off: np.ndarray, unit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts (bytes and offsets) in units: as they are, or their words' hashes."""
+    if unit == BYTES:
+        return buf, off
+    words = Words(buf, off)
+    return words.hash.view(np.uint8), words.first.astype(np.int64) * WORD
+
+
+def one_coded(data: bytes, unit: int) -> bytes:
+    if unit == BYTES:
+        return data
+    return coded(np.frombuffer(data, np.uint8), np.array([0, len(data)]), unit)[0].tobytes()
+
+
 def sliding_min(v: np.ndarray, w: int) -> np.ndarray:
     """Minimum of every ``w`` neighbours."""
     m = len(v) - w + 1
@@ -85,7 +107,7 @@ def anchors_of(buf: np.ndarray, off: np.ndarray, length: int, gram: int):
     return doc, g[p], context, left, right, lo - off[doc]
 
 
-def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def anchors(docs: DataFrame, length: int, gram: int, unit: int = BYTES) -> DataFrame:
     """``(text_key, doc_id, hash, context, left, right, lo)`` of ``docs`` (text_key, doc_id, text)."""
     names = ["text_key", "doc_id", "hash", "context", "left", "right", "lo"]
 
@@ -99,7 +121,7 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
-                buf, off = flat(part.column(2))
+                buf, off = coded(*flat(part.column(2)), unit)
                 if len(buf) <= SEGMENT:
                     if len(buf) >= length:
                         yield rows(part, buf, off)
@@ -108,7 +130,8 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     piece = buf[at:at + SEGMENT - 1]
                     yield rows(part, piece, np.array([0, len(piece)]), at)
 
-    long_enough = docs.filter(F.octet_length("text") >= length)
+    # a word and the white space behind it are two bytes at least
+    long_enough = docs.filter(F.octet_length("text") >= (length if unit == BYTES else 2 * (length // unit) - 1))
     return long_enough.select("text_key", "doc_id", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
@@ -154,7 +177,7 @@ FOUND = T.StructType([T.StructField("hash", T.LongType()), T.StructField("contex
                       T.StructField("earlier", RANGE), T.StructField("elsewhere", RANGE)])
 
 
-def context_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def context_texts(docs: DataFrame, wanted: DataFrame, unit: int = BYTES) -> DataFrame:
     """``wanted`` (hash, context, left, right, n, first) with the bytes of each context."""
     lists = wanted.groupBy(F.col("first.text_key").alias("text_key")).agg(
         F.collect_list(F.struct("hash", "context", "left", "right", F.col("first.doc_id").alias("doc_id"),
@@ -170,7 +193,7 @@ def context_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 if key in seen:  # equal texts: one of them gives the contexts
                     continue
                 seen.add(key)
-                data = text.as_buffer().to_pybytes()
+                data = one_coded(text.as_buffer().to_pybytes(), unit)
                 for w in want.as_py():
                     rows.append([w[f] for f in fields])
                     keys.append(key)
@@ -245,11 +268,11 @@ def counted_factors(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, keep_first: bool, length: int = LENGTH, gram: int = GRAM,
-                   shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
-    """``(text_key, doc_id, spans)``: byte ranges to remove, not yet merged; ``doc_id`` is null
+                   shard_contexts: int = SHARD_CONTEXTS, unit: int = BYTES) -> DataFrame:
+    """``(text_key, doc_id, spans)``: byte ranges (of the coded text) to remove, not yet merged; ``doc_id`` is null
     throughout without ``keep_first``, where equal texts lose the same bytes."""
     who = F.col("doc_id") if keep_first else F.lit(None)
-    found = stage(anchors(docs.select("text_key", who.cast("long").alias("doc_id"), "text"), length, gram), "anchors")
+    found = stage(anchors(docs.select("text_key", who.cast("long").alias("doc_id"), "text"), length, gram, unit), "anchors")
     place = F.struct("doc_id", "text_key", "lo")
     classes = stage(found.groupBy("hash", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min("left").alias("left"), F.min("right").alias("right"), F.min(place).alias("first")), "classes")
@@ -258,7 +281,7 @@ def repeated_spans(docs: DataFrame, keep_first: bool, length: int = LENGTH, gram
     some = maybe_in(classes, "hash", key_sketch(groups, "hash")).join(groups, "hash")
     some = stage(some, "repeated")
     unlike = some.filter("classes > 1")
-    contexts = stage(context_texts(docs, unlike).join(unlike.select("hash", "context", "classes"), ["hash", "context"]), "contexts")
+    contexts = stage(context_texts(docs, unlike, unit).join(unlike.select("hash", "context", "classes"), ["hash", "context"]), "contexts")
     usual = contexts.filter(F.col("classes") <= shard_contexts).drop("classes")
     shards = max(1, -(-unlike.count() // shard_contexts))
     factors_found = sorted_factors(usual, shards, length)
@@ -285,13 +308,14 @@ SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Struct
 
 
 def cut_repeats(docs: DataFrame, keep_first: bool = True, length: int = LENGTH, whole_chars: bool = False,
-                gram: int = GRAM, shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
+                gram: int = GRAM, shard_contexts: int = SHARD_CONTEXTS, unit: int = BYTES) -> DataFrame:
     """``docs`` with ``spans`` (maximal removed byte ranges) and ``kept_bytes`` (what is left).
 
-    ``whole_chars`` leaves a character standing that a range covers only in part.
+    ``whole_chars`` leaves a character standing that a range covers only in part; so does a word with
+    ``unit=WORD``, where ``length`` and ``gram`` are eight bytes for each word.
     """
     docs = docs.drop("spans", "kept_bytes").withColumn("text_key", F.xxhash64("text"))
-    spans = stage(repeated_spans(docs, keep_first, length, gram, shard_contexts), "spans")
+    spans = stage(repeated_spans(docs, keep_first, length, gram, shard_contexts, unit), "spans")
     sketch = key_sketch(spans, "text_key")
     plain = maybe_in(docs, "text_key", sketch, negate=True)
     other = spans.select(F.col("text_key").alias("_key"), F.col("doc_id").alias("_doc"), F.col("spans").alias("_spans"))
@@ -314,7 +338,9 @@ def cut_repeats(docs: DataFrame, keep_first: bool = True, length: int = LENGTH,
                         runs[-1][1] = max(runs[-1][1], s[1])
                     else:
                         runs.append(list(s))
-                if whole_chars:
+                if unit == WORD:
+                    runs = _words_between(data, runs)
+                elif whole_chars:
                     runs = [r for r in (_inner(data, *r) for r in runs) if r[0] < r[1]]
                 merged.append([{"start": s, "end": e} for s, e in runs])
                 edges = [0, *[x for r in runs for x in r], len(data)]
@@ -328,6 +354,15 @@ def cut_repeats(docs: DataFrame, keep_first: bool = True, length: int = LENGTH,
     return untouched.unionByName(joined.mapInArrow(run, out)).drop("text_key")
 
 
+def _words_between(data: bytes, runs: list[list[int]]) -> list[list[int]]:
+    """Byte ranges of the text for ranges of its coded form: from the first whole word to the last."""
+    if not runs:
+        return []
+    words = Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    ranges = [(-(-s // WORD), e // WORD) for s, e in runs]
+    return [[int(words.start[a]), int(words.end[b - 1])] for a, b in ranges if a < b]
+
+
 def _inner(data: bytes, start: int, end: int) -> list[int]:
     while start < end and start < len(data) and data[start] & 0xC0 == 0x80:
         start += 1
@@ -345,8 +380,9 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the later copies of repeated passages; one of which nothing is left goes."""
-    cut = cut_repeats(docs, keep_first=True, whole_chars=True)
+    """Documents without the later copies of repeated passages of ``PASSAGE_WORDS`` words or more; one
+    of which nothing is left goes."""
+    cut = cut_repeats(docs, keep_first=True, length=PASSAGE_WORDS * WORD, unit=WORD)
     changed = F.size("spans") > 0
     out = cut.withColumn("text", F.when(changed, F.col("kept_bytes").cast("string")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
