@@ -20,13 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import key_sketch, maybe_in, table
+from .shared import carried, key_sketch, maybe_in, restored, table
 from .textstats import base_stats, per_doc
 from .textvec import chunks, flat
 
 #: Bits of a hashed n-gram: what a task sends, and the driver holds, is bounded by 2^BITS counts.
 BITS = 14
 NGRAM = 4
+#: Log ratios are added up as whole multiples of one in so many.
+SCALE = 1 << 24
 #: A document stays if its mean log ratio is at least this.
 THRESHOLD = -0.30
 #: fixed values of the base rules
@@ -92,6 +94,7 @@ def judge_quality(docs: DataFrame, ratios: np.ndarray, threshold: float = THRESH
     """``docs`` with the base counts, ``base_failed, score, kept``; columns of these names are replaced."""
     new = [*STATS, "base_failed", "score", "kept"]
     docs = docs.drop(*new)
+    whole = np.rint(ratios * SCALE).astype(np.int64)  # sums of whole numbers do not depend on the batch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,11 +103,11 @@ def judge_quality(docs: DataFrame, ratios: np.ndarray, threshold: float = THRESH
                 stats = base_stats(buf, off)
                 g = buckets(buf)
                 ok = inside(off, len(g))
-                value = np.zeros(len(buf))
-                value[:len(g)] = np.where(ok, ratios[g], 0.0)
-                total = np.concatenate([[0.0], np.cumsum(value)])
+                value = np.zeros(len(buf), np.int64)
+                value[:len(g)] = np.where(ok, whole[g], 0)
+                total = np.concatenate([[0], np.cumsum(value)])
                 n = per_doc(np.concatenate([ok, np.zeros(len(buf) - len(g), bool)]), off)
-                score = (total[off[1:]] - total[off[:-1]]) / np.maximum(n, 1)
+                score = (total[off[1:]] - total[off[:-1]]) / SCALE / np.maximum(n, 1)
                 words = stats["n_words"]
                 failed = (words < MIN_WORDS) | (100 * stats["n_repeat_words"] > MAX_REPEAT_PERCENT * words)
                 yield pa.RecordBatch.from_arrays(
@@ -124,5 +127,5 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, with the columns they came with."""
-    judged = judge_quality(docs, log_ratios(docs, table(spark, sf_dir, "labels")))
-    return judged.filter("kept").select(docs.columns)
+    judged = judge_quality(carried(docs), log_ratios(docs, table(spark, sf_dir, "labels")))
+    return restored(judged.filter("kept"), docs.columns)
