@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import table
+from .shared import carried, restored, table
 from .textvec import ALNUM, U, Words, chunks, flat, grams
 
 WINDOW = 10
@@ -228,7 +228,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the hit passages; one of which nothing is left goes as a whole."""
-    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    found = find_contamination(carried(docs), table(spark, sf_dir, "benchmark"))
     raw = F.col("text").cast("binary")
     kept = F.concat_ws("", F.transform(
         F.sequence(F.lit(0), F.size("hits")),
@@ -237,6 +237,4 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
                                - F.when(i == 0, 0).otherwise(F.get(F.col("hits.last"), i - 1))).cast("int")).cast("string")))
     cut = F.when(F.size("hits") > 0, kept).otherwise(F.col("text"))
     out = found.withColumn("text", cut).filter((F.size("hits") == 0) | (F.length(F.trim("text")) > 0))
-    out = out.withColumn("n_chars", F.when(F.size("hits") > 0, F.length("text")).otherwise(F.col("n_chars"))) \
-        if "n_chars" in docs.columns else out
-    return out.select(docs.columns)
+    return restored(out, docs.columns, F.size("hits") > 0)

@@ -35,15 +35,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import key_sketch, maybe_in, stage, table
+from .shared import carried, key_sketch, maybe_in, restored, stage, table
 from .textvec import U, Words, chunks, flat, give_back, mix, shingle_set, stream
 
 SHINGLE = 5
 #: Links have 100 * |A and B| >= PERCENT * |A or B|.
 PERCENT = 75
 HASHES, TREES, DEPTH, MIN_DEPTH = 64, 20, 16, 3
-#: Neighbours on each side in each order; a region longer than this also has centres.
-NEIGHBOURS, CENTRES = 6, 8
+#: Neighbours on each side in the orders of small regions; a longer region has one, and a centre.
+NEIGHBOURS = 6
 #: Counters of the order "rarest first" (a power of 2): shingles that share one only cost candidates.
 COUNTERS = 1 << 19
 
@@ -116,8 +116,9 @@ def forest_rows(classes: DataFrame) -> DataFrame:
     return classes.select(*names).mapInArrow(run, "key binary, node long, n long" + ", root long" * len(names[3:]))
 
 
-def neighbours(rows: DataFrame, width: int = NEIGHBOURS, centres: int = CENTRES) -> DataFrame:
-    """``(a, b, fits, weight, central)``: candidate pairs, a < b, whether their sizes allow a link, the
+def neighbours(rows: DataFrame, width: int, centres: int) -> DataFrame:
+    """In each order the next one, in regions of up to ``NEIGHBOURS + 1`` the next ``width``, and the
+    region's centres: ``(a, b, fits, weight, central)``: candidate pairs, a < b, whether their sizes allow a link, the
     number of prefix values they share in all orders, and that with one as the other's centre.  Where
     ``rows`` has ``root``, only pairs of two roots."""
     # by region, not by range: no two neighbours stand on two sides of a partition's edge
@@ -139,9 +140,11 @@ def neighbours(rows: DataFrame, width: int = NEIGHBOURS, centres: int = CENTRES)
             lcp = np.where(same.all(axis=1), DEPTH, same.argmin(axis=1) - 1)  # -1: another tree
             out = []
             common = np.full(len(node), DEPTH)
+            edges = np.concatenate([[0], np.flatnonzero(lcp < MIN_DEPTH) + 1, [len(node)]])
+            small = np.repeat(np.diff(edges) <= NEIGHBOURS + 1, np.diff(edges))
             for w in range(1, width + 1):
                 common = np.minimum(common[:len(node) - w], lcp[w - 1:])
-                i = np.flatnonzero(common >= MIN_DEPTH)
+                i = np.flatnonzero((common >= MIN_DEPTH) & (small[:len(node) - w] | (w == 1)))
                 i = i[i + w >= old]  # pairs within the rows carried over are out already
                 out.append((i, i + w, common[i], np.zeros(len(i), np.int64)))
             out += _centres(values, lcp, node, centres)
@@ -336,7 +339,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     links = stage(confirmed(strongest, sets), "links")
     # then every candidate whose ends are still apart
     rooted = social.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    apart = neighbours(forest_rows(rooted)).filter("fits").join(strongest, ["a", "b"], "left_anti")
+    apart = neighbours(forest_rows(rooted), NEIGHBOURS, 1).filter("fits").join(strongest, ["a", "b"], "left_anti")
     links = links.unionByName(stage(confirmed(apart, sets), "links"))
     # last, every pair of crowded regions that is apart even now and may link
     dense = stage(crowded(social), "crowded")
@@ -372,6 +375,6 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     gone = stage(groups.filter("root is not null").select("_row").distinct().join(first, "_row", "left_anti"), "gone")
     again = groups.groupBy("_row").count().filter("count > 1").select("_row")
     sketch = stage(key_sketch(gone.unionByName(again), "_row"), "sketch")
-    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    keyed = carried(docs).withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")))
     perhaps = maybe_in(keyed, "_row", sketch).join(gone, "_row", "left_anti").dropDuplicates(["_row"])
-    return maybe_in(keyed, "_row", sketch, negate=True).unionByName(perhaps).drop("_row")
+    return restored(maybe_in(keyed, "_row", sketch, negate=True).unionByName(perhaps), docs.columns)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import key_sketch, maybe_in, stage, table
+from .shared import carried, key_sketch, maybe_in, restored, stage, table
 from .textvec import BYTE, U, Words, chunks, flat, give_back, mix
 
 LENGTH, GRAM = 400, 96
@@ -382,9 +382,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the later copies of repeated passages of ``PASSAGE_WORDS`` words or more; one
     of which nothing is left goes."""
-    cut = cut_repeats(docs, keep_first=True, length=PASSAGE_WORDS * WORD, unit=WORD)
+    cut = cut_repeats(carried(docs), keep_first=True, length=PASSAGE_WORDS * WORD, unit=WORD)
     changed = F.size("spans") > 0
     out = cut.withColumn("text", F.when(changed, F.col("kept_bytes").cast("string")).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")))
-    return out.filter(~changed | (F.length(F.trim("text")) > 0)).select(docs.columns)
+    return restored(out.filter(~changed | (F.length(F.trim("text")) > 0)), docs.columns, changed)

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
@@ -52,6 +52,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """``(_all, doc_id, text)``: all columns but the text as one, so no name of theirs meets an operator's."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*rest).alias("_all"), "doc_id", "text")
+
+
+def restored(df: DataFrame, columns: list[str], changed: Column | None = None) -> DataFrame:
+    """The columns of ``carried`` documents again, with the text as it is now; where ``changed``, a
+    column ``n_chars`` is the length of the new text."""
+    def one(c: str) -> Column:
+        if c == "text":
+            return F.col("text")
+        old = F.col("_all").getField(c)
+        if c == "n_chars" and changed is not None:
+            return F.when(changed, F.length("text")).otherwise(old).alias(c)
+        return old.alias(c)
+
+    return df.select(*[one(c) for c in columns])
+
+
 #: Bits of the membership sketch of ``maybe_in``: its words are at most this / 64 rows (2 MB).
 SKETCH_BITS = 1 << 23
 
