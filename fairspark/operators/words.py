@@ -66,8 +66,12 @@ def word_counts(lines: DataFrame, mode: str = "one_round", salts: int | None = N
         raise ValueError(f"mode must be one of {MODES}")
     salts = salts or DEFAULT_SALTS
     one = F.count(F.lit(1)).alias("n")
-    if mode in ("one_round", "partition"):
+    if mode == "one_round":
         return _words(lines, (), col).groupBy("word").agg(one)
+    if mode == "partition":
+        # counts of each task's own words, then of all: the key is where a word stands, not what it is
+        first = _words(lines, (), col).withColumn("part", F.spark_partition_id()).groupBy("part", "word").agg(one)
+        return first.groupBy("word").agg(F.sum("n").alias("n"))
     keys = list(id_cols) if id_cols else [col]
     w = _words(lines, keys, col)
     if mode == "salted":

@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 
-from .tables import OFF_HALVES, P2_CENTERS, P2_FAR_CENTER, P2_FAR_CENTERS, P64_DIM, PART_CENTERS, PRICE_SCALE, UNBALANCED_QTY
+from .tables import OFF_HALVES, P2_CENTERS, P2_FAR_CENTER, P2_FAR_CENTERS, P64_DIM, PART_CENTERS, PRICE_SCALE, TABLE_CENTERS, UNBALANCED_QTY
 
 def lit(v: float) -> str:
     return f"CAST({float(v)!r} AS DOUBLE)"
@@ -476,7 +476,19 @@ def oracle_sql() -> dict[str, str]:
     out["empty_center_repair_many"] = _repair_sql(P2_FAR_CENTERS)
     out["kmeans_properties"] = ("SELECT CAST(5 AS INTEGER) AS n_centers, count(*) AS n_points, true AS costs, "
                                 "true AS improved FROM lineitem")
-    out["synth_points"] = _synth_sql()
+    out["synth_points_by_key"] = _synth_sql()
+    out["synth_points"] = _dealt_sql()
+    out["points_read_good"] = out["points_parse"] + " WHERE l_linenumber <> 7"
+    key = "l_orderkey || '-' || l_linenumber"
+    out["points_read_bad"] = (
+        f"SELECT CASE l_orderkey % 3 WHEN 0 THEN {key} || ',' || l_linestatus WHEN 1 THEN {key} || ',1.5,' || l_linestatus ELSE '1,2,' || {key} END AS value, "
+        f"CASE l_orderkey % 3 WHEN 0 THEN 'field count' WHEN 1 THEN 'malformed number' ELSE 'label is neither group' END AS reason, true AS placed "
+        f"FROM lineitem WHERE l_linenumber = 7")
+    out["nearest_center_table"] = (
+        f"WITH {_p2()}, cen AS (SELECT CAST(l_orderkey % {TABLE_CENTERS} AS INTEGER) AS cid, min(l_quantity) AS c0, "
+        f"max(l_extendedprice) / {lit(PRICE_SCALE)} AS c1 FROM lineitem GROUP BY 1), "
+        f"best AS (SELECT x0, x1, min({{'d': {dist(['x0', 'x1'], ['c0', 'c1'])}, 'cid': cid}}) AS b FROM (SELECT DISTINCT x0, x1 FROM pts), cen "
+        f"GROUP BY x0, x1) SELECT l_orderkey, l_linenumber, b.cid AS cid, {r6('b.d')} AS d2 FROM pts JOIN best USING (x0, x1)")
     # 64-d points
     p64 = f"pts AS ({p64_points_sql()})"
     k64 = 10
@@ -497,6 +509,18 @@ def oracle_sql() -> dict[str, str]:
     return out
 
 
+def _dealt_sql(k: int = 5, seed: int = 42) -> str:
+    def u(axis: str) -> str:
+        return f"CAST(CAST('0x' || substr(md5('{seed}-{axis}-' || id), 1, 13) AS BIGINT) AS DOUBLE) / {lit(2.0 ** 52)}"
+    return (
+        f"WITH n AS (SELECT count(*) // {k} AS per FROM lineitem), "
+        f"dealt AS (SELECT id, CAST(id // per AS INTEGER) AS cid, id % per < CAST(floor({lit(0.8)} * per) AS BIGINT) AS is_a "
+        f"FROM (SELECT row_number() OVER () - 1 AS id FROM lineitem), n WHERE id < per * {k}) "
+        f"SELECT id, cid, round({lit(0.0)} + cid * {lit(100.0)} + {u('x')} * {lit(20.0)}, 6) AS x, "
+        f"round(CASE WHEN is_a THEN {lit(50.0)} ELSE {lit(10.0)} END + {u('y')} * {lit(20.0)}, 6) AS y, "
+        f"CASE WHEN is_a THEN 'A' ELSE 'B' END AS grp FROM dealt")
+
+
 def _synth_sql(k: int = 5, seed: int = 42) -> str:
     def u(axis: str) -> str:
         return (f"CAST(CAST('0x' || substr(md5('{seed}-{axis}-' || l_orderkey || '-' || l_linenumber), 1, 13) AS BIGINT)"

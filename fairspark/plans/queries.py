@@ -6,12 +6,16 @@ order gives the same values.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import fair, kmeans, models, moments, objective, words
+from ..operators import center_table, fair, kmeans, models, moments, objective, words
+from ..session import ensure_checkpoint_dir
+from ..sources.diverted import read_points_diverted
 from ..sources.points import group_counts, parse_points
-from ..sources.synth import synth_points_of
+from ..sources.synth import deal_points, synth_points_of
 from . import tables
 from .tables import P2_CENTERS, P2_FAR_CENTER
 
@@ -250,6 +254,43 @@ def kmeans_properties(spark, d):
 
 
 def synth(spark, d):
+    """As many synthetic points as there are order lines, with exact shares of centres and groups."""
+    return deal_points(tables.table(spark, d, "lineitem", KEYS), 5, seed=42)
+
+
+def _read_back(spark, d):
+    """Point lines of the order lines, written as text and read with diversion; every seventh line of an
+    order is broken in one of three ways."""
+    x, y = F.col("l_quantity").cast("string"), (F.col("l_extendedprice") / F.lit(tables.PRICE_SCALE)).cast("string")
+    good = F.concat_ws(",", x, y, F.col("l_linestatus"))
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    broken = F.when(F.col("l_orderkey") % 3 == 0, F.concat_ws(",", key, F.col("l_linestatus"))).when(
+        F.col("l_orderkey") % 3 == 1, F.concat_ws(",", key, F.lit("1.5"), F.col("l_linestatus"))).otherwise(F.concat_ws(",", F.lit("1"), F.lit("2"), key))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/point-text-{uuid.uuid4().hex}"
+    li = tables.table(spark, d, "lineitem", ("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_linestatus"))
+    li.select(F.when(F.col("l_linenumber") == 7, broken).otherwise(good).alias("value")).write.text(folder)
+    return read_points_diverted(spark, folder, 2, group_a="F", group_b="O")
+
+
+def points_read_good(spark, d):
+    return _read_back(spark, d).good.select(F.col("features")[0].alias("x"), F.col("features")[1].alias("y"), "grp")
+
+
+def points_read_bad(spark, d):
+    """The diverted lines; ``line > 0`` in a file of ours stands for their place, which depends on the files."""
+    return _read_back(spark, d).bad.select("value", "reason", (F.col("line") > 0).alias("placed"))
+
+
+def nearest_center_table(spark, d):
+    """Nearest of up to 2,000 centres, themselves a table: least quantity and highest price by order."""
+    li = tables.table(spark, d, "lineitem", ("l_orderkey", "l_quantity", "l_extendedprice"))
+    centers = li.groupBy((F.col("l_orderkey") % tables.TABLE_CENTERS).cast("int").alias("cid")).agg(
+        F.array(F.min("l_quantity"), F.max("l_extendedprice") / F.lit(tables.PRICE_SCALE)).alias("center"))
+    out = center_table.assign_from_table(tables.p2_points(spark, d, keep=KEYS), centers)
+    return out.select(*KEYS, "cid", r6("d2").alias("d2"))
+
+
+def synth_by_key(spark, d):
     """One synthetic point per order line, drawn by the line's key."""
     lines = tables.table(spark, d, "lineitem", KEYS)
     return synth_points_of(lines, KEYS, 5, seed=42)
@@ -356,6 +397,10 @@ QUERIES = {
     "empty_center_repair_many": empty_center_repair_many,
     "kmeans_properties": kmeans_properties,
     "synth_points": synth,
+    "synth_points_by_key": synth_by_key,
+    "points_read_good": points_read_good,
+    "points_read_bad": points_read_bad,
+    "nearest_center_table": nearest_center_table,
     "kmeans_standard": kmeans_standard,
     "kmeans_init": kmeans_init,
     "fair_vs_standard_kmeans": fair_vs_standard_kmeans,

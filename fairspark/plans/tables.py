@@ -28,6 +28,8 @@ P2_FAR_CENTERS = [(200.0, 200.0), (201.0, 201.0), (202.0, 202.0)]
 PART_CENTERS = [(12.0, 15.0), (38.0, 55.0)]
 # added before rounding where values are means of few prices: those end in halves of the last place
 OFF_HALVES = 3.1e-7
+# centres of the table of centres
+TABLE_CENTERS = 2_000
 P64_DIM = 64
 
 

@@ -14,22 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import as_col
+from .text import read_text_lines as read_lines
 
 # fixed values: the two canonical group labels
 GROUP_A = "A"
 GROUP_B = "B"
 
 
-def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """Text lines ``(value string)``; optionally spread over ``partitions`` tasks.
-
-    The input splits of the text source already parallelise the read, so the
-    extra round-robin shuffle is only done when asked for.
-    """
-    df = spark.read.text(path)
-    return df.repartition(partitions) if partitions else df
-
-
 def _canonical_group(label: Column, group_a: str, group_b: str) -> Column:
     return (
         F.when(label == F.lit(group_a), F.lit(GROUP_A))

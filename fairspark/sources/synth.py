@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 # fixed values of the generator
 X_START = 10.0
 X_STEP = 100.0
@@ -49,6 +51,22 @@ def synth_points(spark: SparkSession, n: int, k: int, seed: int = 42,
     return _place(ids.select("id", cid.alias("cid"), is_a.alias("is_a")), ["id"], F.col("id"), seed)
 
 
+def deal_points(rows: DataFrame, k: int, seed: int = 42) -> DataFrame:
+    """``(id, cid, x, y, grp)``: the points of ``synth_points`` for as many as ``rows`` has rows.
+
+    Every row is dealt one number by exact ranking (no sort, no shuffle of rows), and its number decides
+    centre and group, so each centre has ``n div k`` points of which ``int(0.8 (n div k))`` are in A; the
+    rows beyond ``k * (n div k)`` get none.
+    """
+    if k <= 0:
+        raise ValueError("k must be positive")
+    ids, n = numbered(rows.select(F.lit(True).alias("_row")))
+    per = n // k
+    share = ids.filter(F.col("id") < per * k).select(
+        "id", F.expr(f"CAST(id div {max(per, 1)} AS INT)").alias("cid"), (F.col("id") % max(per, 1) < int(SHARE_A * per)).alias("is_a"))
+    return _place(share, ["id"], F.col("id"), seed)
+
+
 def synth_points_of(rows: DataFrame, keys: Sequence[str], k: int, seed: int = 42) -> DataFrame:
     """``(*keys, cid, x, y, grp)``: one point per row, drawn by a hash of its key columns.
 

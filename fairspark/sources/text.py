@@ -14,7 +14,11 @@ from ..functions.text import line_array
 
 
 def read_text_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """``(value string)``, one row per line of the files under ``path``."""
+    """``(value string)``, one row per line of the files under ``path``.
+
+    The input splits already spread the read; the round-robin shuffle over ``partitions`` tasks is
+    only done when asked for.
+    """
     df = spark.read.text(path)
     return df.repartition(partitions) if partitions else df
 
