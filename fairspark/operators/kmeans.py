@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import UNROLL_LIMIT, Centers
-from ..sources.points import persist_points
+from ..functions.geometry import Centers
+from ..sources.points import GROUP_A, persist_points
 from .moments import merged, moment_rows
-from .objective import assign
 from .seeding import seed_centers
 
 # fixed values of the training call: init mode, seed and tolerance
@@ -52,20 +51,11 @@ def _sqdist(a, b) -> float:
 
 def lloyd_step(points: DataFrame, centers: Centers) -> list[tuple[float, ...]]:
     """One Lloyd step: each centre moves to the mean of its points; an empty one stays."""
-    dim = len(centers[0])
-    f = F.col("features")
     out = [tuple(float(v) for v in c) for c in centers]
-    if len(centers) * dim > UNROLL_LIMIT:
-        # at most one row per centre and task leaves Python, whatever the dimension
-        alike = points.select("features", F.lit("A").alias("grp"))
-        for r in merged(moment_rows(alike, centers), dim=dim).collect():  # at most K rows
-            out[r["cid"]] = tuple(c + s / r["n"] for c, s in zip(centers[r["cid"]], r["s1"]))
-        return out
-    rows = (assign(points, centers).groupBy("cid")
-            .agg(*[F.avg(f[j]).alias(f"m{j}") for j in range(dim)])
-            .collect())  # at most K rows
-    for r in rows:
-        out[r["cid"]] = tuple(float(r[f"m{j}"]) for j in range(dim))
+    # at most one row per centre and task leaves Python, whatever the dimension
+    alike = points.select("features", F.lit(GROUP_A).alias("grp"))
+    for r in merged(moment_rows(alike, centers), dim=len(centers[0])).collect():  # at most K rows
+        out[r["cid"]] = tuple(c + s / r["n"] for c, s in zip(out[r["cid"]], r["s1"]))
     return out
 
 

@@ -82,7 +82,7 @@ def seed_candidates(points: DataFrame, k: int, seed: int = 1, rounds: int = ROUN
     for r in range(1, MOST_ROUNDS + 1):
         if r > rounds and len(candidates) >= k:
             break
-        near = pts.select("features", "_key", nearest("features", candidates).d.alias("d2"))
+        near = pts.select("features", "_key", nearest("features", candidates, "udf").d.alias("d2"))
         phi = near.agg(F.sum("d2")).first()[0]
         if not phi > 0:  # every point is a candidate
             break
@@ -99,7 +99,7 @@ def seed_centers(points: DataFrame, k: int, seed: int = 1, rounds: int = ROUNDS,
     if len(candidates) <= k:
         return candidates
     weights = np.zeros(len(candidates))
-    cells = points.select(nearest("features", candidates).cid.alias("cid")).groupBy("cid").count()
+    cells = points.select(nearest("features", candidates, "udf").cid.alias("cid")).groupBy("cid").count()
     for r in cells.collect():  # one row per candidate
         weights[r["cid"]] = r["count"]
     rows = np.array(candidates)
