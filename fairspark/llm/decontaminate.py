@@ -9,13 +9,16 @@ never reaches the word-by-word walk.
 Words are runs of ASCII digits, letters (A-Z lower-cased) and non-ASCII bytes.
 
 Defined results: null and empty texts have no words and no hits; an item without words matches
-nothing; repeated items are separate items and repeated rows separate documents; an empty benchmark
-leaves every document clean; extra columns are kept and result names replaced.
+nothing; every row of the benchmark is an item of its own, also where ids or whole rows repeat (its id
+then stands in ``items`` once for each), and an item without an id is a null in ``items``: counted, and
+no part of the digest; repeated rows are separate documents; an empty benchmark leaves every document
+clean; extra columns are kept and result names replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import carried, restored, table
+from .shared import carried, key_sketch, maybe_in, restored, stage, table
 from .textvec import ALNUM, U, Words, chunks, flat, grams
 
 WINDOW = 10
-#: Characters of benchmark text that one automaton may hold (what is sent to every task); a larger
-#: benchmark is taken in several automata, one after the other.
-MAX_BENCHMARK_CHARS = 8_000_000
+#: Characters of benchmark text that one automaton may hold (what is sent to every task, and the most
+#: that driver or worker holds at a time, some 300 MB as Python objects); a larger benchmark is dealt to
+#: several automata of about that size, each with a pass of its own.  An item is never cut.
+MAX_BENCHMARK_CHARS = 2_000_000
 
 
 class SuffixAutomaton:
@@ -164,12 +168,17 @@ class Matcher:
 
 
 def matchers(benchmark: DataFrame, window: int = WINDOW, max_chars: int = MAX_BENCHMARK_CHARS) -> Iterator[Matcher]:
-    """One matcher if the benchmark is within the bound, else one for each part of about that size."""
+    """One matcher if the benchmark is within the bound, else one for each part of about that size,
+    built when it is asked for."""
     chars = benchmark.agg(F.sum(F.length("text") + 16)).head()[0] or 0
     parts = max(1, -(-chars // max_chars))
+    items = benchmark.select("item_id", "text")
+    if parts > 1:
+        # dealt by row, so equal rows spread too; written, so every pass sees the same parts
+        items = stage(items.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(parts))), "benchmark")
     for k in range(parts):
-        some = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k) if parts > 1 else benchmark
-        yield Matcher([(r["item_id"], r["text"]) for r in some.select("item_id", "text").collect()], window)
+        some = items.filter(F.col("part") == k) if parts > 1 else items
+        yield Matcher([(r["item_id"], r["text"]) for r in some.collect()], window)
 
 
 RESULT = [("n_words", T.LongType()), ("hits", T.ArrayType(T.StructType([
@@ -178,25 +187,45 @@ RESULT = [("n_words", T.LongType()), ("hits", T.ArrayType(T.StructType([
     ("items", T.ArrayType(T.StringType()))]
 
 
+NAMES = [n for n, _ in RESULT]
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        max_chars: int = MAX_BENCHMARK_CHARS) -> DataFrame:
-    """``docs`` with ``n_words``, ``hits`` (maximal runs of hit words: word range and byte range) and ``items``."""
-    ms = list(matchers(benchmark, window, max_chars))
-    names = [n for n, _ in RESULT]
-    docs = docs.drop(*names)
+    """``docs`` with ``n_words``, ``hits`` (maximal runs of hit words: word range and byte range) and ``items``.
+
+    A benchmark over ``max_chars`` takes one pass over the texts for each of its parts; what a pass
+    finds is written, and the passes are merged by text.
+    """
+    docs = docs.drop(*NAMES)
+    ms = matchers(benchmark, window, max_chars)
+    first = next(ms)
+    second = next(ms, None)
+    if second is None:
+        return matched(docs, first)
+    key = F.sha2(F.col("text").cast("binary"), 256).alias("key")
+    found = None
+    for m in chain([first, second], ms):
+        hit = matched(docs.select("text"), m).filter(F.size("hits") > 0)
+        # copies of a text have the same hits: one row each, before any shuffle
+        one = stage(hit.select(key, "hits", "items").groupBy("key").agg(F.first("hits").alias("hits"), F.first("items").alias("items")),
+                    "contamination")
+        found = one if found is None else found.unionByName(one)
+    # at most a row for each part and text
+    by_text = stage(found.groupBy("key").agg(F.flatten(F.collect_list("hits")).alias("_hits"),
+                                             F.flatten(F.collect_list("items")).alias("_items")), "contaminated")
+    return _merged(docs, by_text)
+
+
+def matched(docs: DataFrame, matcher: Matcher) -> DataFrame:
+    """``docs`` with the result columns for the items of one matcher, in one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
                 buf, off = flat(part.column(part.schema.get_field_index("text")))
                 words = Words(buf, off, ALNUM, lower=True)
-                hit = np.zeros(len(words.hash), dtype=bool)
-                found: dict[int, set[str]] = {}
-                for m in ms:
-                    h, f = m.hits(words)
-                    hit |= h
-                    for d, ks in f.items():
-                        found.setdefault(d, set()).update(str(m.automaton.items[k]) for k in ks)
+                hit, found = matcher.hits(words)
                 doc = words.doc()
                 spans: list[list[dict]] = [[] for _ in range(part.num_rows)]
                 new = np.concatenate([[True], doc[1:] != doc[:-1]]) if len(doc) else np.empty(0, bool)
@@ -208,15 +237,49 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
                     d = int(doc[a])
                     spans[d].append({"start": a - int(words.first[d]), "end": b + 1 - int(words.first[d]),
                                      "first": int(words.start[a] - off[d]), "last": int(words.end[b] - off[d])})
+                ids = matcher.automaton.items
+                items = [sorted((None if ids[k] is None else str(ids[k]) for k in found.get(d, ())),
+                                key=lambda x: (x is not None, x or "")) for d in range(part.num_rows)]
                 kind = pa.list_(pa.struct([(k, pa.int64()) for k in ("start", "end", "first", "last")]))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(np.diff(words.first), pa.int64()), pa.array(spans, kind),
-                     pa.array([sorted(found.get(d, ())) for d in range(part.num_rows)], pa.list_(pa.string()))],
-                    names=[*part.schema.names, *names])
+                     pa.array(items, pa.list_(pa.string()))],
+                    names=[*part.schema.names, *NAMES])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, t in RESULT]]))
 
 
+#: Rows of one text reach this many join tasks for each row of its hits.
+TEXT_SALTS = 32
+
+#: Spans of several passes as maximal runs: each extends the last one, or starts a run.
+_RUNS = """aggregate(array_sort(_hits), cast(array() as array<struct<start: bigint, end: bigint, first: bigint, last: bigint>>),
+    (acc, h) -> if(size(acc) > 0 and h.start <= element_at(acc, -1).end,
+        concat(slice(acc, 1, size(acc) - 1), array(named_struct(
+            'start', element_at(acc, -1).start, 'end', greatest(h.end, element_at(acc, -1).end),
+            'first', element_at(acc, -1).first, 'last', greatest(h.last, element_at(acc, -1).last)))),
+        concat(acc, array(h))))"""
+
+
+def _merged(docs: DataFrame, by_text: DataFrame) -> DataFrame:
+    """``docs`` with the result columns out of ``by_text`` (key, _hits, _items), one row a text.
+
+    Only rows that may have hits are shuffled, and the copies of one text go to ``TEXT_SALTS`` tasks.
+    """
+    counted = matched(docs, Matcher([])).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "n_words",
+                                                F.sha2(F.col("text").cast("binary"), 256).alias("key"))
+    sketch = key_sketch(by_text, "key")
+    clean = maybe_in(counted, "key", sketch, negate=True).withColumns({"_hits": F.lit(None).cast(RESULT[1][1]),
+                                                                       "_items": F.lit(None).cast(RESULT[2][1])})
+    salted = maybe_in(counted, "key", sketch).withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(TEXT_SALTS)).cast("int"))
+    copies = by_text.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(TEXT_SALTS - 1))))
+    joined = salted.join(copies, ["key", "salt"], "left").drop("salt")
+    return clean.unionByName(joined.select(*clean.columns)).select(
+        *[F.col("_doc").getField(c).alias(c) for c in docs.columns], "n_words",
+        F.coalesce(F.expr(_RUNS), F.array().cast(RESULT[1][1])).alias("hits"),
+        F.coalesce(F.sort_array("_items"), F.array().cast(RESULT[2][1])).alias("items"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"))

@@ -64,8 +64,8 @@ def contamination(docs, items, window=10):
                 if ks:
                     hit.update(range(i, i + m))
                     found |= ks
-        ids = sorted({str(items[k][0]) for k in found})
-        out.append((doc, len(w), len(hit), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(hit)))
+        ids = sorted(str(items[k][0]) for k in found if items[k][0] is not None)
+        out.append((doc, len(w), len(hit), len(found), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(hit)))
     return out
 
 

@@ -83,14 +83,18 @@ def test_near_duplicate_stage_decides_by_row(spark):
 
 
 def test_contamination(spark, docs, data):
-    items = [(1, "two"), (2, None), (3, ""), (4, PASSAGE), (4, "tok3 tok4"), (5, "zzz yyy")] if data else []
+    items = [(1, "two"), (2, None), (3, ""), (4, PASSAGE), (4, "tok3 tok4"), (4, "tok3 tok4"), (None, "tok7"), (None, "a"),
+             (5, "zzz yyy"), (6, "end tok5 tok6"), (7, "one two tok0")] if data else []
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = decontaminate.find_contamination(docs, bench)
     want = brute.contamination(data, items)
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, h: a + h["end"] - h["start"])
-    assert out(found, "doc_id", "n_words", n_hit) == sorted((r[:3] for r in want), key=repr)
-    split = decontaminate.find_contamination(docs, bench, max_chars=40)
-    assert out(split, "doc_id", "items") == out(found, "doc_id", "items")
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    split = decontaminate.find_contamination(docs.withColumn("hits", F.lit(1)), bench, max_chars=40)  # a pass for each part
+    for got in (found, split):
+        assert out(got, "doc_id", "n_words", n_hit, F.size("items"), digest) == sorted((r[:5] for r in want), key=repr)
+        assert got.columns == [*docs.columns, "n_words", "hits", "items"]
+    assert out(split, "doc_id", "hits", "items") == out(found, "doc_id", "hits", "items")
 
 
 def test_quality(spark, docs, data):
