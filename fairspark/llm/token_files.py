@@ -8,7 +8,8 @@ the place of the k-th occurrence read a few blocks per plane and never the whole
 one Parquet file of one row, so that any store Spark reads can hold it.
 
 Defined results: null text is empty and stored as the end id alone; null ids come first; equal ids
-keep a fixed order by text hash; an empty table gives no shard.
+keep a fixed order by text hash, and rows equal in both may lie in several partitions, side by side; an
+empty table gives no shard.  A shard has as many planes as its largest id needs, so no id is cut.
 """
 
 from __future__ import annotations
@@ -29,13 +30,24 @@ from .tokens import tokenizer
 
 #: Entries of the token caches here: nothing else of size is held beside them.
 TOKEN_UNITS, TOKEN_PIECES = 600_000, 1_000_000
+#: Bytes of text for a range partition, where that gives more of them than the session's number.
+PART_BYTES = 128 << 20
+#: Rows equal in id and text are dealt to this many places of the range order.
+TIES = 1 << 20
 #: Tokens of a shard (it ends at the next document end) and bits of a block of a plane.
 SHARD_TOKENS = 1 << 21
 BLOCK_BITS = 1 << 16
 
 
-def encode_matrix(ids: np.ndarray, bits: int, level: int = 1) -> bytes:
-    """The file: header ``(n, bits)``, then per plane zeros, ones before each block, block sizes, blocks."""
+def encode_matrix(ids: np.ndarray, bits: int | None = None, level: int = 1) -> bytes:
+    """The file: header ``(n, bits)``, then per plane zeros, ones before each block, block sizes, blocks.
+
+    Without ``bits`` there are as many as the largest id needs; an id that does not fit is an error.
+    """
+    need = max(1, int(ids.max()).bit_length()) if len(ids) else 1
+    bits = bits or need
+    if need > bits:
+        raise ValueError(f"an id of {need} bits does not fit a matrix of {bits}")
     press = zstandard.ZstdCompressor(level=level, write_content_size=True)
     out = [np.array([len(ids), bits], "<i8").tobytes()]
     cur = ids.astype(np.uint32 if bits > 16 else np.uint16)
@@ -142,16 +154,18 @@ class WaveletMatrix:
 SHARDS = "part int, shard int, n_tokens long, n_docs long, doc_ids binary, null_ids binary, lengths binary, matrix binary"
 
 
-def write_token_files(docs: DataFrame, out: str, path: str, end_id: int = 1, bits: int = 16,
+def write_token_files(docs: DataFrame, out: str, path: str, end_id: int = 1, bits: int | None = None,
                       shard_tokens: int = SHARD_TOKENS, parts: int | None = None) -> None:
     """Encode the texts in ascending doc_id order and write one file per shard under ``out``."""
     spark = docs.sparkSession
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    text_bytes = 0 if parts else docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    n = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes // PART_BYTES))
     text = F.coalesce("text", F.lit(""))
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
                .withColumn("_h", F.xxhash64("text"))
-               .repartitionByRange(n, F.asc_nulls_first("doc_id"), "_h")
-               .sortWithinPartitions(F.asc_nulls_first("doc_id"), "_h")
+               .withColumn("_tie", F.pmod(F.monotonically_increasing_id(), F.lit(TIES)))
+               .repartitionByRange(n, F.asc_nulls_first("doc_id"), "_h", "_tie")
+               .sortWithinPartitions(F.asc_nulls_first("doc_id"), "_h", "_tie")
                .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
     end = np.array([end_id], "<u4").tobytes()
 

@@ -137,6 +137,25 @@ def test_wavelet_matrix():
     assert [w.select(39, k) for k in (0, 5, len(places) - 1, len(places))] == [places[0], places[5], places[-1], -1]
 
 
+def test_wavelet_matrix_takes_wide_ids():
+    import numpy as np
+    ids = np.array([70_000, 3, 1 << 31, 0], "<u4")
+    assert (token_files.WaveletMatrix(token_files.encode_matrix(ids)).decode() == ids).all()
+    assert token_files.WaveletMatrix(token_files.encode_matrix(ids[:0])).n == 0
+    with pytest.raises(ValueError, match="does not fit"):
+        token_files.encode_matrix(ids, 16)
+
+
+def test_token_files_split_a_repeated_row(spark):
+    rows = spark.range(3000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("one same text").alias("text"))
+    path = stage_path(spark, "ties")
+    token_files.write_token_files(rows, path, WORD, parts=4)
+    files = spark.read.parquet(path)
+    assert files.select("part").distinct().count() == 4 and files.agg(F.sum("n_docs")).head()[0] == 3000
+    back = token_files.read_token_files(spark, path)
+    assert back.select("start").distinct().count() == 3000 and back.select("ids").distinct().count() == 1
+
+
 def test_licenses(docs, data):
     got = out(licenses.scan_licenses(docs), "doc_id", "license", "confirmed")
     assert got == ([(9, "MIT", True)] if data else [])
