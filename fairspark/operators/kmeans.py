@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import Centers
 from ..sources.points import GROUP_A, persist_points
+from .bounds import BoundedPoints
 from .moments import merged, moment_rows
 from .seeding import seed_centers
 
@@ -49,28 +50,41 @@ def _sqdist(a, b) -> float:
     return s
 
 
-def lloyd_step(points: DataFrame, centers: Centers) -> list[tuple[float, ...]]:
+def one_group(points: DataFrame) -> DataFrame:
+    return points.select("features", F.lit(GROUP_A).alias("grp"))
+
+
+def lloyd_step(points: DataFrame, centers: Centers, bounded: BoundedPoints | None = None) -> list[tuple[float, ...]]:
     """One Lloyd step: each centre moves to the mean of its points; an empty one stays."""
     out = [tuple(float(v) for v in c) for c in centers]
     # at most one row per centre and task leaves Python, whatever the dimension
-    alike = points.select("features", F.lit(GROUP_A).alias("grp"))
-    for r in merged(moment_rows(alike, centers), dim=len(centers[0])).collect():  # at most K rows
+    rows = bounded.moments(centers) if bounded else merged(
+        moment_rows(one_group(points), centers), dim=len(centers[0])).collect()  # at most K rows
+    for r in rows:
         out[r["cid"]] = tuple(c + s / r["n"] for c, s in zip(out[r["cid"]], r["s1"]))
     return out
 
 
-def lloyd(points: DataFrame, centers: Centers, max_iter: int,
-          tol: float = TOL) -> list[tuple[float, ...]]:
-    """Lloyd iterations from given centres; stops early once no centre moves more than ``tol``."""
+def lloyd(points: DataFrame, centers: Centers, max_iter: int, tol: float = TOL,
+          bounds: bool = False) -> list[tuple[float, ...]]:
+    """Lloyd iterations from given centres; stops early once no centre moves more than ``tol``.
+
+    ``bounds`` stages the points with a distance bound each (``bounds.BoundedPoints``) in place of
+    persisting them, which spares most distances of later steps; it pays for many centres and steps.
+    """
     cur = [tuple(float(v) for v in c) for c in centers]
-    points = persist_points(points.select("features"))
+    bounded = BoundedPoints(one_group(points)) if bounds else None
+    points = points if bounds else persist_points(points.select("features"))
     try:
         for _ in range(max_iter):
-            new = lloyd_step(points, cur)
+            new = lloyd_step(points, cur, bounded)
             done = all(_sqdist(a, b) <= tol * tol for a, b in zip(cur, new))
             cur = new
             if done:
                 break
         return cur
     finally:
-        points.unpersist()
+        if bounded is not None:
+            bounded.drop()
+        else:
+            points.unpersist()

@@ -468,6 +468,9 @@ def oracle_sql() -> dict[str, str]:
     out["fair_lloyd_by_part"] = _models_sql("l_partkey", PART_CENTERS, 2)
     ctes, last = lloyd_sql(2, k, literal_centers(P2_CENTERS), 2)
     out["lloyd_standard_2"] = with_([_p2(), *ctes], round_centers(last, 2))
+    ctes, last = lloyd_sql(2, k, literal_centers(P2_CENTERS), 6)
+    out["lloyd_bounded"] = with_([_p2(), *ctes], round_centers(last, 2))
+    out["fair_lloyd_bounded"] = out["fair_lloyd_2"]
     # both centre sets evaluated on the same points
     lctes, llast = lloyd_sql(2, k, literal_centers(P2_CENTERS), 2, tag="std_")
     fctes, flast = fair_lloyd_sql(2, k, literal_centers(P2_CENTERS), 2, tag="fair_")

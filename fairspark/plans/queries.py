@@ -221,6 +221,17 @@ def lloyd_standard_2(spark, d):
     return _centers_df(spark, kmeans.lloyd(tables.p2_points(spark, d), P2_CENTERS, 2))
 
 
+def lloyd_bounded(spark, d):
+    """Six standard steps with carried distance bounds."""
+    return _centers_df(spark, kmeans.lloyd(tables.p2_points(spark, d), P2_CENTERS, 6, tol=0.0, bounds=True))
+
+
+def fair_lloyd_bounded(spark, d):
+    """Two fair steps with carried distance bounds."""
+    return _centers_df(spark, fair.fair_lloyd(tables.p2_points(spark, d), init_centers=P2_CENTERS, max_iter=2,
+                                              persist=False, bounds=True))
+
+
 def fair_vs_standard(spark, d):
     pts = tables.p2_points(spark, d)
     std = kmeans.lloyd(pts, P2_CENTERS, 2)
@@ -392,6 +403,8 @@ QUERIES = {
     "fair_lloyd_by_segment_repair": fair_lloyd_by_segment_repair,
     "fair_lloyd_by_part": fair_lloyd_by_part,
     "lloyd_standard_2": lloyd_standard_2,
+    "lloyd_bounded": lloyd_bounded,
+    "fair_lloyd_bounded": fair_lloyd_bounded,
     "fair_vs_standard": fair_vs_standard,
     "empty_center_repair": empty_center_repair,
     "empty_center_repair_many": empty_center_repair_many,
