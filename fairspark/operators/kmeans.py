@@ -60,8 +60,12 @@ def lloyd_step(points: DataFrame, centers: Centers, bounded: BoundedPoints | Non
     # at most one row per centre and task leaves Python, whatever the dimension
     rows = bounded.moments(centers) if bounded else merged(
         moment_rows(one_group(points), centers), dim=len(centers[0])).collect()  # at most K rows
-    for r in rows:
-        out[r["cid"]] = tuple(c + s / r["n"] for c, s in zip(out[r["cid"]], r["s1"]))
+    total: dict[int, tuple[int, list[float]]] = {}
+    for r in rows:  # bounded points may come in two groups
+        n, sums = total.get(r["cid"], (0, [0.0] * len(r["s1"])))
+        total[r["cid"]] = n + r["n"], [a + b for a, b in zip(sums, r["s1"])]
+    for cid, (n, sums) in total.items():
+        out[cid] = tuple(c + s / n for c, s in zip(out[cid], sums))
     return out
 
 
