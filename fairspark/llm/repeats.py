@@ -6,8 +6,10 @@ that anchor's hash, and an anchor that stands once in the corpus rules out its s
 strings of one anchor are a run of starts; the bytes they cover are its context.  Contexts that are
 equal as a whole are one class and only counted.  Where classes differ, their texts go, shard by
 shard, into one suffix order (prefix doubling to the needed depth, corpus order within equal
-prefixes).  There the neighbours with a smaller and a larger position give each start its longest
-previous and next factor: a start with a previous factor of ``LENGTH`` bytes has an earlier copy.
+prefixes).  There the nearest starts with a smaller (larger) position on either side give each start
+its longest previous (next) factor, as a length and a source: a start whose previous factor reaches
+``LENGTH`` bytes has an earlier copy.  Factors are measured up to ``LENGTH`` bytes, which is all that
+the threshold reads.
 
 ``keep_first`` removes later copies and keeps the first (by id, then place); without it every copy
 goes.  Strings are judged on the input, matches never cross documents, and overlaps count.
@@ -135,8 +137,9 @@ def anchors(docs: DataFrame, length: int, gram: int, unit: int = BYTES) -> DataF
     return long_enough.select("text_key", "doc_id", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def prefix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of every suffix by its first ``depth`` bytes, by prefix doubling (``depth`` of 8 or more)."""
+def prefix_ranks(text: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """The first 8 bytes of every suffix as a number, and ``(length, rank)`` of every suffix by its
+    first bytes, for lengths doubling from 8 up to ``depth`` (of 8 or more)."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     word = np.zeros(n, U)
@@ -144,26 +147,66 @@ def prefix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
         word = word << U(8) | padded[k:k + n]
     rank = np.unique(word, return_inverse=True)[1].astype(U)
     have = 8
+    levels = [(have, rank.astype(np.uint32))]
     while have < depth:
         step = min(have, depth - have)
         nxt = np.zeros(n, U)
         nxt[:n - step] = rank[step:]
         rank = np.unique(rank << U(32) | nxt, return_inverse=True)[1].astype(U)
         have += step
-    return rank
+        levels.append((have, rank.astype(np.uint32)))
+    return word, levels
 
 
-def factors(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For ascending starts: whether the longest previous, and the longest next, factor among the
-    starts reaches ``length``.  In suffix order with equal prefixes in text order, a start's previous
-    and next smaller (larger) positions with that much in common are its neighbours."""
-    rank = prefix_ranks(text, length)[starts]
-    order = np.argsort(rank, kind="stable")
-    same = rank[order][1:] == rank[order][:-1]  # the common prefix of suffix neighbours is long enough
-    before, after = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
-    before[order[1:][same]] = True
-    after[order[:-1][same]] = True
-    return before, after
+def nearest_smaller(a: np.ndarray) -> np.ndarray:
+    """For every place the last place before it with a smaller value, or -1.
+
+    All that lies between a place and its candidate is not smaller, so a candidate that is not either hands
+    on its own candidate; places whose candidate is smaller are done.
+    """
+    near = np.arange(-1, len(a) - 1)
+    todo = np.arange(1, len(a))
+    while len(todo):
+        at = near[todo]
+        todo = todo[(at >= 0) & (a[at] >= a[todo])]
+        near[todo] = near[near[todo]]
+    return near
+
+
+def common_prefix(word: np.ndarray, levels: list[tuple[int, np.ndarray]], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bytes that the suffixes ``i`` and ``j`` have in common, up to the depth of the last level."""
+    depth, rank = levels[-1]
+    out = np.full(len(i), depth, np.int64)
+    differ = np.flatnonzero(rank[i] != rank[j])
+    a, b = i[differ], j[differ]
+    for have, rank in reversed(levels[:-1]):
+        step = np.where(rank[a] == rank[b], have, 0)
+        a, b = a + step, b + step
+    first = (word[a] ^ word[b]).astype(">u8").view(np.uint8).reshape(-1, 8) != 0
+    out[differ] = a - i[differ] + first.argmax(axis=1)
+    return out
+
+
+def factors(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """``(size, source)`` of the longest previous and of the longest next factor of each of the
+    ascending ``starts`` among the starts, up to ``length`` bytes; without one 0 and -1.
+
+    In suffix order (equal prefixes in text order) the earlier start with most in common is the nearest
+    smaller position on one side or the other; later starts are the nearest larger positions.
+    """
+    word, levels = prefix_ranks(text, length)
+    order = np.argsort(levels[-1][1][starts], kind="stable")
+    found = []
+    for place in (order, -order):
+        size, source = np.zeros(len(order), np.int64), np.full(len(order), -1, np.int64)
+        for near in (nearest_smaller(place), len(order) - 1 - nearest_smaller(place[::-1])[::-1]):
+            has = np.flatnonzero((near >= 0) & (near < len(order)))
+            own, other = order[has], order[near[has]]
+            common = common_prefix(word, levels, starts[own], starts[other])
+            longer = common > size[own]
+            size[own[longer]], source[own[longer]] = common[longer], starts[other[longer]]
+        found.append((size, source))
+    return found[0], found[1]
 
 
 def ranges(flags: np.ndarray, length: int) -> list[dict]:
@@ -217,7 +260,8 @@ def sorted_factors(contexts: DataFrame, shards: int, length: int) -> DataFrame:
         base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         starts_of = [np.arange(b, b + s - length + 1) for b, s in zip(base, sizes)]
         text = np.frombuffer(b"".join(pdf["bytes"]), np.uint8)
-        before, after = factors(text, np.concatenate(starts_of), length)
+        (previous, _), (following, _) = factors(text, np.concatenate(starts_of), length)
+        before, after = previous >= length, following >= length
         cut = np.cumsum([len(x) for x in starts_of])[:-1]
         give_back()
         return pd.DataFrame({"hash": pdf["hash"].to_numpy(), "context": pdf["context"].to_numpy(),
