@@ -1,7 +1,8 @@
 """Quality rules: base rules and a hashed n-gram log-likelihood ratio.
 
 Two multinomials over hashed byte 4-grams are counted over whole tables: one over the documents
-that the labels trust (quality 1), one over the raw corpus.  A document's score is the sum of
+that the labels trust (quality 1), one over the raw corpus.  The number of buckets grows with the
+square root of the corpus, so a large corpus keeps more grams apart.  A document's score is the sum of
 ``log p_trusted / p_raw`` over its 4-grams, divided by their number; documents under the threshold
 go, and so do those that fail the base rules.  Every document is judged and no random choice made.
 
@@ -24,8 +25,8 @@ from .shared import carried, key_sketch, maybe_in, restored, table
 from .textstats import base_stats, per_doc
 from .textvec import chunks, flat
 
-#: Bits of a hashed n-gram: what a task sends, and the driver holds, is bounded by 2^BITS counts.
-BITS = 14
+#: Bits of a hashed n-gram of a small corpus, and the most of any (2^24 buckets belong to some 70 TB of text).
+BITS, MOST_BITS = 14, 30
 NGRAM = 4
 #: Log ratios are added up as whole multiples of one in so many.
 SCALE = 1 << 24
@@ -35,7 +36,15 @@ THRESHOLD = -0.30
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 
 
-def buckets(buf: np.ndarray) -> np.ndarray:
+def bits_for(size: int) -> int:
+    """Bits of the buckets for so many bytes of corpus: twice the root of its size, as a power of two.
+
+    A task sends, and the driver holds, at most 2^bits counts: 2^15 for 0.1 GB, 2^19 for 30 GB.
+    """
+    return min(MOST_BITS, max(BITS, (max(1, size).bit_length() + 1) // 2 + 1))
+
+
+def buckets(buf: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Bucket of the 4-gram that starts at each byte but the last three."""
     if len(buf) < NGRAM:
         return np.empty(0, np.int64)
@@ -43,7 +52,7 @@ def buckets(buf: np.ndarray) -> np.ndarray:
     gram = b[:-3] | b[1:-2] << 8 | b[2:-1] << 16 | b[3:] << 24
     gram = gram * np.uint32(0x9E3779B1)
     gram ^= gram >> np.uint32(15)
-    return ((gram * np.uint32(0x85EBCA77)) >> np.uint32(32 - BITS)).astype(np.int64)
+    return ((gram * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)).astype(np.int64)
 
 
 def inside(off: np.ndarray, n: int) -> np.ndarray:
@@ -55,16 +64,16 @@ def inside(off: np.ndarray, n: int) -> np.ndarray:
     return ok
 
 
-def gram_counts(docs: DataFrame, column: str = "text") -> DataFrame:
-    """``(bucket, n)`` over all texts: each task sums its own, at most 2^BITS rows, before the shuffle."""
+def gram_counts(docs: DataFrame, bits: int, column: str = "text") -> DataFrame:
+    """``(bucket, n)`` over all texts: each task sums its own, at most 2^bits rows, before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BITS, np.int64)
+        total = np.zeros(1 << bits, np.int64)
         for batch in batches:
             for part in chunks(batch, column):
                 buf, off = flat(part.column(0))
-                g = buckets(buf)
-                total += np.bincount(g[inside(off, len(g))], minlength=1 << BITS)
+                g = buckets(buf, bits)
+                total += np.bincount(g[inside(off, len(g))], minlength=1 << bits)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
 
@@ -72,18 +81,19 @@ def gram_counts(docs: DataFrame, column: str = "text") -> DataFrame:
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """The table of log ratios (2^BITS doubles), with one added to every count."""
+    """The table of log ratios (one for each bucket), with one added to every count."""
+    bits = bits_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     trusted = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
     some = maybe_in(docs.select("doc_id", "text"), "doc_id", key_sketch(trusted, "doc_id"))
     target = some.join(trusted, "doc_id", "left_semi")
     p = []
-    for counted in (gram_counts(target), gram_counts(docs)):
-        n = np.ones(1 << BITS)
-        for r in counted.collect():  # at most 2^BITS rows
-            n[r["bucket"]] += r["n"]
+    for counted in (gram_counts(target, bits), gram_counts(docs, bits)):
+        n = np.ones(1 << bits)
+        found = counted.toArrow()  # at most 2^bits rows
+        n[found.column("bucket").to_numpy()] += found.column("n").to_numpy()
         p.append(n / n.sum())
     if p[0].max() == p[0].min():
-        return np.zeros(1 << BITS)
+        return np.zeros(1 << bits)
     return np.log(p[0] / p[1])
 
 
@@ -94,14 +104,15 @@ def judge_quality(docs: DataFrame, ratios: np.ndarray, threshold: float = THRESH
     """``docs`` with the base counts, ``base_failed, score, kept``; columns of these names are replaced."""
     new = [*STATS, "base_failed", "score", "kept"]
     docs = docs.drop(*new)
-    whole = np.rint(ratios * SCALE).astype(np.int64)  # sums of whole numbers do not depend on the batch
+    bits = len(ratios).bit_length() - 1
+    whole = np.rint(ratios * SCALE).astype(np.int32)  # sums of whole numbers do not depend on the batch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
                 buf, off = flat(part.column(part.schema.get_field_index("text")))
                 stats = base_stats(buf, off)
-                g = buckets(buf)
+                g = buckets(buf, bits)
                 ok = inside(off, len(g))
                 value = np.zeros(len(buf), np.int64)
                 value[:len(g)] = np.where(ok, whole[g], 0)
