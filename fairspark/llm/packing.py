@@ -30,8 +30,6 @@ from .tokens import tokenizer
 WINDOW = 1024
 #: Pieces that one task packs together; their number, not the tokens, is what it holds.
 PIECES_PER_SHARD = 8_192
-#: Two rows of one document are dealt apart by this many places, should an id repeat endlessly.
-SALTS = 64
 
 
 def subset_counts(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -100,7 +98,8 @@ def cut_documents(docs: DataFrame, path: str, end_id: int = 0, window: int = WIN
 
     ``ids`` are little-endian unsigned 32-bit ids; with ``digest`` a column ``ids_crc32`` (long)
     stands in their place, for callers that need no more of them.  ``caches``: most units and pieces
-    that the tokenizer remembers, where not the usual ones.
+    that the tokenizer remembers, where not the usual ones.  ``salt`` numbers the documents of a task,
+    so that rows equal in all else are dealt apart, however many they are.
     """
     schema = PIECES.replace("ids binary", "ids_crc32 long") if digest else PIECES
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -114,7 +113,7 @@ def cut_documents(docs: DataFrame, path: str, end_id: int = 0, window: int = WIN
                 n, nth = len(ids) // 4, nth + 1
                 for start in range(0, n, window):
                     part = ids[4 * start:4 * (start + window)]
-                    for col, v in zip(rows, (doc, start, len(part) // 4, n, zlib.crc32(part) if digest else part, nth % SALTS)):
+                    for col, v in zip(rows, (doc, start, len(part) // 4, n, zlib.crc32(part) if digest else part, nth)):
                         col.append(v)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.binary() if k == 4 and not digest else pa.int64()) for k, c in enumerate(rows)],
