@@ -72,10 +72,11 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(F.col("conv_id").alias("_c"), F.col("block").alias("_b"),
                            F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
+    # the head goes to the blocks, few of a conversation, and from there to its turns
+    blocks = blocks.join(heads, F.col("_c").eqNullSafe(F.col("_conv")))
     inner = Window.partitionBy("conv_id", "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     placed = (t.withColumn("end", F.sum("tokens").over(inner))
               .join(blocks, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("block") == F.col("_b")))
-              .join(heads, F.col("conv_id").eqNullSafe(F.col("_conv")))
               .withColumn("end", F.col("end") + F.col("base"))
               .withColumn("start", F.col("end") - F.col("tokens")))
     # the leading system turn is added to each window, not placed in one
