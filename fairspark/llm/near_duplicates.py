@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
@@ -367,14 +367,19 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component: of those with the smallest id (null only if no id is known) the one
     with the smallest hash of its text.  Rows without words stay; of rows equal in id and text one does."""
-    row = F.xxhash64("doc_id", "text_key").alias("_row")
-    groups = stage(_grouped(docs).select("doc_id", "text_key", "root", row), "groups")
-    first = (groups.filter("root is not null").groupBy("root")
-             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key")).alias("f"))
-             .select(F.xxhash64("f.doc_id", "f.text_key").alias("_row")))
-    gone = stage(groups.filter("root is not null").select("_row").distinct().join(first, "_row", "left_anti"), "gone")
-    again = groups.groupBy("_row").count().filter("count > 1").select("_row")
+    def row(doc_id: Column, text_key: Column) -> list[Column]:
+        # decided by id and text, spared by the hash of both; a null id is a value of its own
+        return [F.coalesce(doc_id, F.lit(0)).alias("_id"), doc_id.isNull().alias("_unknown"), text_key.alias("_key"),
+                F.xxhash64(doc_id, text_key).alias("_row")]
+
+    who = ["_row", "_id", "_unknown", "_key"]
+    groups = stage(_grouped(docs).select("root", *row(F.col("doc_id").cast("long"), F.col("text_key"))), "groups")
+    first = (groups.filter("root is not null").groupBy("root").agg(F.min(F.struct("_unknown", "_id", "_key", "_row")).alias("f"))
+             .select("f.*"))
+    gone = stage(groups.filter("root is not null").select(*who).distinct().join(first, who, "left_anti"), "gone")
+    again = groups.groupBy(*who).count().filter("count > 1").select(*who)
     sketch = stage(key_sketch(gone.unionByName(again), "_row"), "sketch")
-    keyed = carried(docs).withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    perhaps = maybe_in(keyed, "_row", sketch).join(gone, "_row", "left_anti").dropDuplicates(["_row"])
+    keyed = carried(docs)
+    keyed = keyed.select("*", *row(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    perhaps = maybe_in(keyed, "_row", sketch).join(gone, who, "left_anti").dropDuplicates([*who, "text"])
     return restored(maybe_in(keyed, "_row", sketch, negate=True).unionByName(perhaps), docs.columns)

@@ -52,6 +52,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete the files of a staged frame that no later frame reads."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def carried(docs: DataFrame) -> DataFrame:
     """``(_all, doc_id, text)``: all columns but the text as one, so no name of theirs meets an operator's."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
