@@ -5,8 +5,8 @@ Equal strings have the same anchor at the same place, so all copies of a string
 that anchor's hash, and an anchor that stands once in the corpus rules out its strings at once.  The
 strings of one anchor are a run of starts; the bytes they cover are its context.  Contexts that are
 equal as a whole are one class and only counted.  Where classes differ, their texts go, shard by
-shard, into one suffix order (prefix doubling to the needed depth, corpus order within equal
-prefixes).  There the nearest starts with a smaller (larger) position on either side give each start
+shard, into suffix orders of whole anchors (prefix doubling to the needed depth, corpus order within
+equal prefixes).  There the nearest starts with a smaller (larger) position on either side give each start
 its longest previous (next) factor, as a length and a source: a start whose previous factor reaches
 ``LENGTH`` bytes has an earlier copy.  Factors are measured up to ``LENGTH`` bytes, which is all that
 the threshold reads.
@@ -45,6 +45,10 @@ PASSAGE_WORDS = 50
 #: Contexts of a shard (under 1 MB of text).  An anchor with more classes than that is not sorted in
 #: one place: its strings are grouped one by one instead.
 SHARD_CONTEXTS = 1_500
+#: Bytes of contexts that one suffix order takes, beside the rest of the last anchor in it.
+SORT_BYTES = 256 << 10
+#: Bytes of contexts in one Arrow batch, beside the rest of the last text in it.
+CONTEXT_BYTES = 4 << 20
 
 #: Bytes that one numpy pass takes of a long text, and bits of a place in it.
 SEGMENT, PLACE_BITS = 8 << 20, 24
@@ -228,10 +232,15 @@ def context_texts(docs: DataFrame, wanted: DataFrame, unit: int = BYTES) -> Data
     texts = maybe_in(docs.select("text_key", "text"), "text_key", key_sketch(lists, "text_key"))
     fields = ["hash", "context", "left", "right", "doc_id", "lo"]
 
+    def batch_of(rows: list[list], keys: list[int], parts: list[bytes]) -> pa.RecordBatch:
+        cols = list(zip(*rows)) if rows else [[] for _ in fields]
+        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols], pa.array(keys, pa.int64()),
+                                           pa.array(parts, pa.binary())], names=[*fields, "text_key", "bytes"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
-            rows, keys, parts = [], [], []
+            rows, keys, parts, held = [], [], [], 0
             for key, text, want in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
                 if key in seen:  # equal texts: one of them gives the contexts
                     continue
@@ -241,9 +250,11 @@ def context_texts(docs: DataFrame, wanted: DataFrame, unit: int = BYTES) -> Data
                     rows.append([w[f] for f in fields])
                     keys.append(key)
                     parts.append(data[w["lo"]:w["lo"] + w["left"] + w["right"]])
-            cols = list(zip(*rows)) if rows else [[] for _ in fields]
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols], pa.array(keys, pa.int64()),
-                                              pa.array(parts, pa.binary())], names=[*fields, "text_key", "bytes"])
+                    held += len(parts[-1])
+                if held > CONTEXT_BYTES:
+                    yield batch_of(rows, keys, parts)
+                    rows, keys, parts, held = [], [], [], 0
+            yield batch_of(rows, keys, parts)
             give_back()
 
     return (texts.join(lists, "text_key").select("text_key", "text", "wanted")
@@ -253,9 +264,7 @@ def context_texts(docs: DataFrame, wanted: DataFrame, unit: int = BYTES) -> Data
 def sorted_factors(contexts: DataFrame, shards: int, length: int) -> DataFrame:
     """``FOUND`` rows: per context the ranges that occur earlier, and those that occur elsewhere."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = (pdf.drop_duplicates(["hash", "context"])
-               .sort_values(["doc_id", "text_key", "lo"], na_position="first", kind="stable"))
+    def some(pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = pdf["bytes"].map(len).to_numpy()
         base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         starts_of = [np.arange(b, b + s - length + 1) for b, s in zip(base, sizes)]
@@ -263,11 +272,19 @@ def sorted_factors(contexts: DataFrame, shards: int, length: int) -> DataFrame:
         (previous, _), (following, _) = factors(text, np.concatenate(starts_of), length)
         before, after = previous >= length, following >= length
         cut = np.cumsum([len(x) for x in starts_of])[:-1]
-        give_back()
         return pd.DataFrame({"hash": pdf["hash"].to_numpy(), "context": pdf["context"].to_numpy(),
                              "earlier": [ranges(x, length) for x in np.split(before, cut)],
                              "elsewhere": [ranges(x, length) for x in np.split(before | after, cut)]})
 
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = (pdf.drop_duplicates(["hash", "context"])
+               .sort_values(["hash", "doc_id", "text_key", "lo"], na_position="first", kind="stable"))
+        # equal strings have one anchor, so whole anchors are sorted apart: the ranks of every byte are what is held
+        before = pdf["bytes"].map(len).cumsum().shift(fill_value=0)
+        found = [some(part) for _, part in pdf.groupby(before.groupby(pdf["hash"]).transform("min") // SORT_BYTES)]
+        give_back()
+        return pd.concat(found, ignore_index=True)
+
     return contexts.groupBy(F.pmod(F.xxhash64("hash"), F.lit(shards))).applyInPandas(run, FOUND)
 
 

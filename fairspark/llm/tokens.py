@@ -22,7 +22,7 @@ from .textvec import CACHES
 
 #: Entries of the caches of units and of pieces.  Full caches keep what is in use (what was looked up
 #: since the last turn), which changes the speed and not the ids; a cache outgrows its size by one text.
-CACHE_UNITS, CACHE_PIECES = 300_000, 500_000
+CACHE_UNITS, CACHE_PIECES = 300_000, 100_000
 
 #: fixed values: the split patterns of the two vocabularies (their files and README)
 BYTE_LEVEL = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -66,16 +66,17 @@ class UnitTokenizer:
         self.later = UnitCache(self._unit, " ", self.keeps_space, self.most[0])
         self.newline = self._unit("\n")
 
+    def _merged(self, piece: str) -> bytes:
+        """Ids of one piece from the library's model."""
+        letters = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
+
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
             ids = self.older.get(piece)
             if ids is None:
-                if piece.isascii() and piece.isalpha():
-                    letters = piece
-                else:
-                    letters = piece.encode().decode("latin-1").translate(self.letters)
-                ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
+                ids = self._merged(piece)
             if len(self.pieces) >= self.most[1] // 2:
                 self.older, self.pieces = self.pieces, {}
             self.pieces[piece] = ids
@@ -83,17 +84,24 @@ class UnitTokenizer:
 
     def _unit(self, unit: str, space: str = "") -> bytes:
         """Ids of one unit, after a blank where white space is kept."""
+        text = unit
         if not self.keeps_space:
-            if not unit.isascii():
-                unit = unicodedata.normalize("NFC", unit)
+            if not text.isascii():
+                text = unicodedata.normalize("NFC", text)
             # one character at a time, without the rule for the last sigma of a word
-            unit = unit.lower() if "\u03a3" not in unit else "".join([c.lower() for c in unit])
-        # most units are letters, or letters and one mark: no need of the pattern
-        if unit.isalpha():
-            return self._piece(space + unit)
-        if unit[-1:] in MARKS and unit[:-1].isalpha():
-            return self._piece(space + unit[:-1]) + self._piece(unit[-1])
-        return b"".join([self._piece(p) for p in self.pattern.findall(space + unit)])
+            text = text.lower() if "\u03a3" not in text else "".join([c.lower() for c in text])
+        # most units are letters, or letters and one mark: no need of the pattern.  What a unit's own
+        # entry holds is no piece as well, and letters before a mark are looked up as a unit
+        if text.isalpha():
+            if text == unit:
+                return self._merged(space + text)
+            return self.first[text] if text.isascii() else self._piece(text)
+        if text[-1:] in MARKS and text[:-1].isalpha():
+            letters = text[:-1]
+            if text == unit or letters.isascii():
+                return (self.later if space else self.first)[letters] + self._piece(text[-1])
+            return self._piece(letters) + self._piece(text[-1])
+        return b"".join([self._piece(p) for p in self.pattern.findall(space + text)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.keeps_space:
