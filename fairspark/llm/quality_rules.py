@@ -32,6 +32,8 @@ NGRAM = 4
 SCALE = 1 << 24
 #: A document stays if its mean log ratio is at least this.
 THRESHOLD = -0.30
+#: Trusted ids that are sent to every task (some 100 MB there); where there are more, texts are shuffled to meet them.
+SENT_IDS = 2_000_000
 #: fixed values of the base rules
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 
@@ -80,12 +82,20 @@ def gram_counts(docs: DataFrame, bits: int, column: str = "text") -> DataFrame:
     return docs.select(column).mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
+def trusted_texts(docs: DataFrame, trusted: DataFrame, sent_ids: int | None = None) -> DataFrame:
+    """``(doc_id, text)`` of the documents whose id is in ``trusted``; the texts stay where they are read
+    unless there are more than ``sent_ids`` (``SENT_IDS``) ids."""
+    texts, most = docs.select("doc_id", "text"), SENT_IDS if sent_ids is None else sent_ids
+    if trusted.limit(most + 1).count() <= most:
+        return texts.join(F.broadcast(trusted), "doc_id", "left_semi")
+    return maybe_in(texts, "doc_id", key_sketch(trusted, "doc_id")).join(trusted, "doc_id", "left_semi")
+
+
 def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """The table of log ratios (one for each bucket), with one added to every count."""
     bits = bits_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     trusted = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    some = maybe_in(docs.select("doc_id", "text"), "doc_id", key_sketch(trusted, "doc_id"))
-    target = some.join(trusted, "doc_id", "left_semi")
+    target = trusted_texts(docs, trusted)
     p = []
     for counted in (gram_counts(target, bits), gram_counts(docs, bits)):
         n = np.ones(1 << bits)
