@@ -26,6 +26,8 @@ from ..functions.text import tokens
 
 MODES = ("one_round", "salted", "salted_expr", "partition")
 DEFAULT_SALTS = 8
+#: Bytes of lines whose words one task counts by line: their distinct words fit its memory.
+LINE_BYTES = 8 << 20
 
 
 def num_docs(lines: DataFrame) -> DataFrame:
@@ -44,11 +46,14 @@ def per_doc_counts(lines: DataFrame, id_cols: Sequence[str] = ("doc_id", "line_n
                    col: str = "value") -> DataFrame:
     """``(*id_cols, word, n)``: occurrences of each word in each line.
 
-    The shuffle is keyed by (document, line, word) after a map-side combine.
-    Partitioning the lines by document first would save it, but would send
-    every line of a very large document to one task.
+    Few words come twice in a line, so a map-side combine saves little: the lines are shuffled
+    whole, by all of ``id_cols``, and their words counted where they arrive, without another shuffle.
+    Lines of one id meet in one task, which holds their distinct words.
     """
-    return (_words(lines, id_cols, col).groupBy(*id_cols, "word")
+    size = lines.agg(F.sum(F.octet_length(col))).first()[0] or 0
+    parts = max(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // LINE_BYTES))
+    placed = lines.select(*id_cols, col).repartition(parts, *id_cols)
+    return (_words(placed, id_cols, col).groupBy(*id_cols, "word")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
