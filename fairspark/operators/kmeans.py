@@ -20,16 +20,19 @@ HASHED = "hashed"
 
 
 def kmeans_centers(points: DataFrame, k: int, max_iter: int, tol: float = TOL, seed: int = SEED,
-                   init_mode: str = HASHED, key: Column | None = None) -> list[tuple[float, ...]]:
+                   init_mode: str = HASHED, key: Column | None = None,
+                   starts: Centers | None = None) -> list[tuple[float, ...]]:
     """``k`` centres after at most ``max_iter`` Lloyd steps; ``max_iter=0`` gives the starting centres.
 
     ``init_mode='hashed'`` starts from ``seeding.seed_centers`` (``key`` goes there); ``'k-means||'`` and
     ``'random'`` train with ``pyspark.ml``, whose start depends on the partitioning.  There may be
-    fewer than ``k`` centres when there are fewer distinct points.
+    fewer than ``k`` centres when there are fewer distinct points.  ``starts``: the hashed starting
+    centres of these points, where the caller has them already.
     """
     if init_mode != HASHED:
         return _trained(points, k, max_iter, tol, seed, init_mode)
-    starts = seed_centers(points, k, seed, key=key)
+    if starts is None:
+        starts = seed_centers(points, k, seed, key=key)
     return lloyd(points, starts, max_iter, tol) if starts else []
 
 

@@ -9,20 +9,24 @@
    its weight times its squared distance to the centres picked before.
 
 A draw is a hash of (seed, round, point), so the centres do not depend on partitioning, order or the
-retry of a task; equal points share their draws and are one candidate.  A round is two passes over
-the points (``phi``, then the draw) and brings about ``factor * k`` distinct candidates to the
+retry of a task; equal points share their draws and are one candidate.  The points are persisted
+meanwhile.  A round is two passes over them (``phi``, then the draw) and brings about ``factor * k`` distinct candidates to the
 driver; weights come back as one row per candidate.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.geometry import nearest
+from ..functions.geometry import Centers, batch_nearest, feature_matrix
+from ..sources.points import persist_points
 from ..sources.synth import TWO_POW_52, hash_uniform
 
 # fixed values: rounds and oversampling factor of the usual k-means|| start
@@ -60,6 +64,27 @@ def pick_weighted(candidates: np.ndarray, weights: np.ndarray, k: int, seed: int
     return picked
 
 
+def keyed_points(points: DataFrame, key: Column | None = None) -> DataFrame:
+    """``(features, _key)``: points and the text that stands for each in its draws."""
+    name = key if key is not None else F.xxhash64("features").cast("string")
+    return points.select("features", name.alias("_key"))
+
+
+def with_nearest(points: DataFrame, centers: Centers) -> DataFrame:
+    """Points (features first) plus ``d2`` (squared distance to) and ``cid`` (index of) the nearest centre."""
+    cs = np.array(centers, dtype=np.float64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                d2, cid = batch_nearest(feature_matrix(b.column(0), cs.shape[1]), cs)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(d2), pa.array(cid.astype(np.int32))],
+                                                 names=[*b.schema.names, "d2", "cid"])
+
+    return points.mapInArrow(run, T.StructType([*points.schema.fields, T.StructField("d2", T.DoubleType()),
+                                                T.StructField("cid", T.IntegerType())]))
+
+
 def seed_candidates(points: DataFrame, k: int, seed: int = 1, rounds: int = ROUNDS, factor: float = FACTOR,
                     key: Column | None = None) -> list[tuple[float, ...]]:
     """Distinct candidate points in the order they were drawn (within a round by coordinates).
@@ -69,8 +94,7 @@ def seed_candidates(points: DataFrame, k: int, seed: int = 1, rounds: int = ROUN
     """
     if k <= 0:
         raise ValueError("k must be positive")
-    name = key if key is not None else F.xxhash64("features").cast("string")
-    pts = points.select("features", name.alias("_key"))
+    pts = keyed_points(points, key)
 
     def draw(r: int) -> Column:
         return hash_uniform(seed, f"draw{r}", F.col("_key"))
@@ -82,7 +106,7 @@ def seed_candidates(points: DataFrame, k: int, seed: int = 1, rounds: int = ROUN
     for r in range(1, MOST_ROUNDS + 1):
         if r > rounds and len(candidates) >= k:
             break
-        near = pts.select("features", "_key", nearest("features", candidates, "udf").d.alias("d2"))
+        near = with_nearest(pts, candidates)
         phi = near.agg(F.sum("d2")).first()[0]
         if not phi > 0:  # every point is a candidate
             break
@@ -95,12 +119,16 @@ def seed_candidates(points: DataFrame, k: int, seed: int = 1, rounds: int = ROUN
 def seed_centers(points: DataFrame, k: int, seed: int = 1, rounds: int = ROUNDS, factor: float = FACTOR,
                  key: Column | None = None) -> list[tuple[float, ...]]:
     """``k`` starting centres, or all distinct points where there are fewer."""
-    candidates = seed_candidates(points, k, seed, rounds, factor, key)
-    if len(candidates) <= k:
-        return candidates
-    weights = np.zeros(len(candidates))
-    cells = points.select(nearest("features", candidates, "udf").cid.alias("cid")).groupBy("cid").count()
-    for r in cells.collect():  # one row per candidate
-        weights[r["cid"]] = r["count"]
+    pts = persist_points(keyed_points(points, key))
+    try:
+        candidates = seed_candidates(pts, k, seed, rounds, factor, F.col("_key"))
+        if len(candidates) <= k:
+            return candidates
+        weights = np.zeros(len(candidates))
+        cells = with_nearest(pts.select("features"), candidates).groupBy("cid").count()
+        for r in cells.collect():  # one row per candidate
+            weights[r["cid"]] = r["count"]
+    finally:
+        pts.unpersist()
     rows = np.array(candidates)
     return [candidates[i] for i in pick_weighted(rows, weights, k, seed)]

@@ -257,7 +257,8 @@ def kmeans_properties(spark, d):
     """What holds for k-means whatever its random start: five centres, every point in one cluster, and
     training that does not raise the objective of the initial centres."""
     pts = tables.p2_points(spark, d).select("features", "grp")
-    init, trained = kmeans.kmeans_centers(pts, 5, 0), kmeans.kmeans_centers(pts, 5, 10)
+    init = kmeans.kmeans_centers(pts, 5, 0)
+    trained = kmeans.kmeans_centers(pts, 5, 10, starts=init)
     both = objective.assign(objective.assign(pts, init).select("features", F.col("d2").alias("d_init")), trained)
     return both.agg(F.count("cid").alias("n_points"), (F.avg("d2") > 0).alias("costs"),
                     (F.avg("d2") <= F.avg("d_init")).alias("improved")).select(
