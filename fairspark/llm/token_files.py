@@ -29,7 +29,7 @@ from .textvec import chunks
 from .tokens import tokenizer
 
 #: Entries of the token caches here: nothing else of size is held beside them.
-TOKEN_UNITS, TOKEN_PIECES = 600_000, 1_000_000
+TOKEN_UNITS, TOKEN_PIECES = 1_000_000, 200_000
 #: Bytes of text for a range partition, where that gives more of them than the session's number.
 PART_BYTES = 128 << 20
 #: Rows equal in id and text are dealt to this many places of the range order.
@@ -52,15 +52,15 @@ def encode_matrix(ids: np.ndarray, bits: int | None = None, level: int = 1) -> b
     out = [np.array([len(ids), bits], "<i8").tobytes()]
     cur = ids.astype(np.uint32 if bits > 16 else np.uint16)
     for k in range(bits - 1, -1, -1):
-        one = (cur >> k & 1).astype(bool)
-        packed = np.packbits(one, bitorder="little").tobytes()
-        step = BLOCK_BITS // 8
+        one = (cur & cur.dtype.type(1 << k)) != 0
+        bits_of = np.packbits(one, bitorder="little")
+        packed, step = memoryview(bits_of), BLOCK_BITS // 8
         blocks = [press.compress(packed[i:i + step]) for i in range(0, len(packed), step)]
-        ones = np.add.reduceat(one, np.arange(0, len(one), BLOCK_BITS), dtype=np.int64) if len(one) else np.empty(0, np.int64)
+        ones = [int(np.bitwise_count(bits_of[i:i + step]).sum()) for i in range(0, len(bits_of), step)]
         before = np.concatenate([[0], np.cumsum(ones)]).astype("<i8")
         sizes = np.array([len(x) for x in blocks], "<i8")
         out += [before.tobytes(), sizes.tobytes(), *blocks]
-        cur = np.concatenate([cur[~one], cur[one]])
+        cur = np.concatenate([cur.take(np.flatnonzero(~one)), cur.take(np.flatnonzero(one))])  # masks take five times as long
     return b"".join(out)
 
 
@@ -143,10 +143,10 @@ class WaveletMatrix:
         blocks = -(-self.n // BLOCK_BITS)
         cur = np.zeros(self.n, np.uint32 if self.bits > 16 else np.uint16)
         for k in range(self.bits - 1, -1, -1):
-            one = np.concatenate([self._read(k, j) for j in range(blocks)])[:self.n].astype(bool) if blocks else np.empty(0, bool)
+            one = np.concatenate([self._read(k, j) for j in range(blocks)])[:self.n].view(bool) if blocks else np.empty(0, bool)
             prev, zeros = np.empty_like(cur), self._zeros(k)
-            prev[~one] = cur[:zeros]
-            prev[one] = cur[zeros:] | (1 << (self.bits - 1 - k))
+            prev[np.flatnonzero(~one)] = cur[:zeros]
+            prev[np.flatnonzero(one)] = cur[zeros:] | cur.dtype.type(1 << (self.bits - 1 - k))
             cur = prev
         return cur
 

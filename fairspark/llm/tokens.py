@@ -13,6 +13,7 @@ from __future__ import annotations
 import contextlib
 import functools
 import json
+import struct
 import unicodedata
 from collections.abc import Callable
 
@@ -69,7 +70,8 @@ class UnitTokenizer:
     def _merged(self, piece: str) -> bytes:
         """Ids of one piece from the library's model."""
         letters = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.letters)
-        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(letters)])
+        ids = [t.id for t in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
