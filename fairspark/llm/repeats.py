@@ -15,8 +15,9 @@ the threshold reads.
 goes.  Strings are judged on the input, matches never cross documents, and overlaps count.
 
 The same machinery finds repeated runs of words: with ``unit=WORD`` a text is the sequence of its
-words' 64-bit hashes, eight bytes each, and lengths count those bytes; a removed word goes with all its
-characters and the white space around a removed run stays.
+words' 64-bit hashes, eight bytes each, and lengths count those bytes; strings start at words, and anchors
+and suffix orders take a word as one symbol.  A removed word goes with all its characters and the white
+space around a removed run stays.
 
 Defined results: null text is empty and texts under ``LENGTH`` bytes lose nothing; null ids come
 first; with ``keep_first`` rows equal in id and text are one document and keep the same bytes; an
@@ -40,10 +41,11 @@ from .textvec import BYTE, U, Words, chunks, flat, give_back, mix
 LENGTH, GRAM = 400, 96
 #: Bytes of a unit of text: a byte as it is, or a word as its hash.
 BYTES, WORD = 1, 8
-#: Words of a passage that the pipeline's stage removes where it repeats.
+#: Words of a passage that the pipeline's stage removes, and the query counts, where it repeats.
 PASSAGE_WORDS = 50
-#: Contexts of a shard (under 1 MB of text).  An anchor with more classes than that is not sorted in
-#: one place: its strings are grouped one by one instead.
+#: Contexts of a shard (under 1 MB of text).  An anchor with more classes than that (of bytes; of words, which
+#: are one symbol for eight bytes, eight times as many) is not sorted in one place: its strings are grouped one
+#: by one instead.
 SHARD_CONTEXTS = 1_500
 #: Bytes of contexts that one suffix order takes, beside the rest of the last anchor in it.
 SORT_BYTES = 256 << 10
@@ -78,6 +80,11 @@ def one_coded(data: bytes, unit: int) -> bytes:
     return coded(np.frombuffer(data, np.uint8), np.array([0, len(data)]), unit)[0].tobytes()
 
 
+def symbols(coded_bytes: np.ndarray, unit: int) -> np.ndarray:
+    """A 64-bit number for every unit of a coded text."""
+    return BYTE[coded_bytes] if unit == BYTES else coded_bytes.view(U)
+
+
 def sliding_min(v: np.ndarray, w: int) -> np.ndarray:
     """Minimum of every ``w`` neighbours."""
     m = len(v) - w + 1
@@ -87,11 +94,11 @@ def sliding_min(v: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:m], ahead[w - 1:w - 1 + m])
 
 
-def anchors_of(buf: np.ndarray, off: np.ndarray, length: int, gram: int):
+def anchors_of(buf: np.ndarray, off: np.ndarray, length: int, gram: int, unit: int = BYTES):
     """``(doc, hash, context, left, right, first start)`` of every anchor; starts are within the document."""
-    n = len(buf)
+    off, length, gram, n = off // unit, length // unit, gram // unit, len(buf) // unit
     power, inverse = _powers(n + 1)
-    total = np.concatenate([np.zeros(1, U), np.cumsum(BYTE[buf] * power[:n])])
+    total = np.concatenate([np.zeros(1, U), np.cumsum(symbols(buf, unit) * power[:n])])
     g = mix((total[gram:] - total[:-gram]) * inverse[:n - gram + 1])
     low = U((1 << PLACE_BITS) - 1)
     best = sliding_min((g & ~low) | np.arange(len(g), dtype=U), length - gram + 1)
@@ -110,7 +117,7 @@ def anchors_of(buf: np.ndarray, off: np.ndarray, length: int, gram: int):
     left, right = p - lo, hi + length - p
     context = mix((total[hi + length] - total[lo]) * inverse[lo] + mix((left << 32 | right).astype(U)))
     doc = np.searchsorted(off, lo, side="right") - 1
-    return doc, g[p], context, left, right, lo - off[doc]
+    return doc, g[p], context, left * unit, right * unit, (lo - off[doc]) * unit
 
 
 def anchors(docs: DataFrame, length: int, gram: int, unit: int = BYTES) -> DataFrame:
@@ -118,7 +125,7 @@ def anchors(docs: DataFrame, length: int, gram: int, unit: int = BYTES) -> DataF
     names = ["text_key", "doc_id", "hash", "context", "left", "right", "lo"]
 
     def rows(part: pa.RecordBatch, buf, off, at: int = 0) -> pa.RecordBatch:
-        doc, *cols = anchors_of(buf, off, length, gram)
+        doc, *cols = anchors_of(buf, off, length, gram, unit)
         take = pa.array(doc)
         return pa.RecordBatch.from_arrays(
             [part.column(0).take(take), part.column(1).take(take), *[pa.array(c.astype(np.int64)) for c in cols[:-1]],
@@ -133,7 +140,7 @@ def anchors(docs: DataFrame, length: int, gram: int, unit: int = BYTES) -> DataF
                         yield rows(part, buf, off)
                     continue
                 for at in range(0, len(buf) - length + 1, SEGMENT - length):  # one long text
-                    piece = buf[at:at + SEGMENT - 1]
+                    piece = buf[at:at + SEGMENT - unit]
                     yield rows(part, piece, np.array([0, len(piece)]), at)
 
     # a word and the white space behind it are two bytes at least
@@ -143,14 +150,17 @@ def anchors(docs: DataFrame, length: int, gram: int, unit: int = BYTES) -> DataF
 
 def prefix_ranks(text: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
     """The first 8 bytes of every suffix as a number, and ``(length, rank)`` of every suffix by its
-    first bytes, for lengths doubling from 8 up to ``depth`` (of 8 or more)."""
+    first bytes, for lengths doubling from 8 up to ``depth`` (of 8 or more).  A text of 64-bit symbols
+    gives its symbols, and lengths count them from 1."""
     n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    word = np.zeros(n, U)
-    for k in range(8):
-        word = word << U(8) | padded[k:k + n]
+    if text.dtype == U:
+        word, have = text, 1
+    else:
+        padded = np.concatenate([text, np.zeros(8, np.uint8)])
+        word, have = np.zeros(n, U), 8
+        for k in range(8):
+            word = word << U(8) | padded[k:k + n]
     rank = np.unique(word, return_inverse=True)[1].astype(U)
-    have = 8
     levels = [(have, rank.astype(np.uint32))]
     while have < depth:
         step = min(have, depth - have)
@@ -178,7 +188,8 @@ def nearest_smaller(a: np.ndarray) -> np.ndarray:
 
 
 def common_prefix(word: np.ndarray, levels: list[tuple[int, np.ndarray]], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Bytes that the suffixes ``i`` and ``j`` have in common, up to the depth of the last level."""
+    """Bytes (or symbols, where levels count those) that the suffixes ``i`` and ``j`` have in common, up
+    to the depth of the last level."""
     depth, rank = levels[-1]
     out = np.full(len(i), depth, np.int64)
     differ = np.flatnonzero(rank[i] != rank[j])
@@ -186,18 +197,23 @@ def common_prefix(word: np.ndarray, levels: list[tuple[int, np.ndarray]], i: np.
     for have, rank in reversed(levels[:-1]):
         step = np.where(rank[a] == rank[b], have, 0)
         a, b = a + step, b + step
-    first = (word[a] ^ word[b]).astype(">u8").view(np.uint8).reshape(-1, 8) != 0
-    out[differ] = a - i[differ] + first.argmax(axis=1)
+    out[differ] = a - i[differ]
+    if levels[0][0] > 1:
+        out[differ] += ((word[a] ^ word[b]).astype(">u8").view(np.uint8).reshape(-1, 8) != 0).argmax(axis=1)
     return out
 
 
-def factors(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+def factors(text: np.ndarray, starts: np.ndarray, length: int,
+            unit: int = BYTES) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
     """``(size, source)`` of the longest previous and of the longest next factor of each of the
-    ascending ``starts`` among the starts, up to ``length`` bytes; without one 0 and -1.
+    ascending ``starts`` among the starts, up to ``length`` bytes; without one 0 and -1.  With
+    ``unit=WORD`` starts stand at words and whole words are compared.
 
     In suffix order (equal prefixes in text order) the earlier start with most in common is the nearest
     smaller position on one side or the other; later starts are the nearest larger positions.
     """
+    if unit == WORD:
+        text, starts, length = text.view(U), starts // WORD, length // WORD
     word, levels = prefix_ranks(text, length)
     order = np.argsort(levels[-1][1][starts], kind="stable")
     found = []
@@ -209,14 +225,15 @@ def factors(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[tuple[np
             common = common_prefix(word, levels, starts[own], starts[other])
             longer = common > size[own]
             size[own[longer]], source[own[longer]] = common[longer], starts[other[longer]]
-        found.append((size, source))
+        found.append((size * unit, np.where(source < 0, source, source * unit)))
     return found[0], found[1]
 
 
-def ranges(flags: np.ndarray, length: int) -> list[dict]:
-    """Byte ranges covered by the flagged starts of one context."""
+def ranges(flags: np.ndarray, length: int, unit: int = BYTES) -> list[dict]:
+    """Byte ranges covered by the flagged starts (one for each unit) of one context."""
     edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-    return [{"a": int(a), "b": int(b) - 1 + length} for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
+    return [{"a": int(a) * unit, "b": (int(b) - 1) * unit + length}
+            for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
 
 
 RANGE = T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
@@ -261,20 +278,20 @@ def context_texts(docs: DataFrame, wanted: DataFrame, unit: int = BYTES) -> Data
             .mapInArrow(run, ", ".join(f"{f} long" for f in fields) + ", text_key long, bytes binary"))
 
 
-def sorted_factors(contexts: DataFrame, shards: int, length: int) -> DataFrame:
+def sorted_factors(contexts: DataFrame, shards: int, length: int, unit: int = BYTES) -> DataFrame:
     """``FOUND`` rows: per context the ranges that occur earlier, and those that occur elsewhere."""
 
     def some(pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = pdf["bytes"].map(len).to_numpy()
         base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        starts_of = [np.arange(b, b + s - length + 1) for b, s in zip(base, sizes)]
+        starts_of = [np.arange(b, b + s - length + 1, unit) for b, s in zip(base, sizes)]
         text = np.frombuffer(b"".join(pdf["bytes"]), np.uint8)
-        (previous, _), (following, _) = factors(text, np.concatenate(starts_of), length)
+        (previous, _), (following, _) = factors(text, np.concatenate(starts_of), length, unit)
         before, after = previous >= length, following >= length
         cut = np.cumsum([len(x) for x in starts_of])[:-1]
         return pd.DataFrame({"hash": pdf["hash"].to_numpy(), "context": pdf["context"].to_numpy(),
-                             "earlier": [ranges(x, length) for x in np.split(before, cut)],
-                             "elsewhere": [ranges(x, length) for x in np.split(before | after, cut)]})
+                             "earlier": [ranges(x, length, unit) for x in np.split(before, cut)],
+                             "elsewhere": [ranges(x, length, unit) for x in np.split(before | after, cut)]})
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = (pdf.drop_duplicates(["hash", "context"])
@@ -288,17 +305,17 @@ def sorted_factors(contexts: DataFrame, shards: int, length: int) -> DataFrame:
     return contexts.groupBy(F.pmod(F.xxhash64("hash"), F.lit(shards))).applyInPandas(run, FOUND)
 
 
-def counted_factors(contexts: DataFrame, length: int) -> DataFrame:
+def counted_factors(contexts: DataFrame, length: int, unit: int = BYTES) -> DataFrame:
     """The same for anchors with very many classes: every string is a row, grouped by its hash."""
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
                 row = {k: b.column(i)[r].as_py() for i, k in enumerate(b.schema.names)}
-                buf = np.frombuffer(row["bytes"], np.uint8)
-                power, inverse = _powers(len(buf) + 1)
-                total = np.concatenate([np.zeros(1, U), np.cumsum(BYTE[buf] * power[:len(buf)])])
-                key = mix((total[length:] - total[:-length]) * inverse[:len(buf) - length + 1])
+                units, size = symbols(np.frombuffer(row["bytes"], np.uint8), unit), length // unit
+                power, inverse = _powers(len(units) + 1)
+                total = np.concatenate([np.zeros(1, U), np.cumsum(units * power[:len(units)])])
+                key = mix((total[size:] - total[:-size]) * inverse[:len(units) - size + 1])
                 n = len(key)
                 fill = lambda k: pa.array([row[k]] * n, pa.int64())
                 yield pa.RecordBatch.from_arrays([fill("hash"), fill("context"), fill("doc_id"), fill("text_key"), fill("lo"),
@@ -321,7 +338,7 @@ def counted_factors(contexts: DataFrame, length: int) -> DataFrame:
                 for x in b.column(i).to_pylist():
                     flags = np.zeros(max(x, default=-1) + 1, bool)
                     flags[x] = True
-                    col.append(ranges(flags, length))
+                    col.append(ranges(flags, length, unit))
                 out.append(pa.array(col, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *out], names=FOUND.names)
 
@@ -343,12 +360,13 @@ def repeated_spans(docs: DataFrame, keep_first: bool, length: int = LENGTH, gram
     some = stage(some, "repeated")
     unlike = some.filter("classes > 1")
     contexts = stage(context_texts(docs, unlike, unit).join(unlike.select("hash", "context", "classes"), ["hash", "context"]), "contexts")
-    usual = contexts.filter(F.col("classes") <= shard_contexts).drop("classes")
+    most = shard_contexts * unit
+    usual = contexts.filter(F.col("classes") <= most).drop("classes")
     shards = max(1, -(-unlike.count() // shard_contexts))
-    factors_found = sorted_factors(usual, shards, length)
-    crowded = contexts.filter(F.col("classes") > shard_contexts).drop("classes")
-    if unlike.filter(F.col("classes") > shard_contexts).limit(1).count():
-        factors_found = factors_found.unionByName(counted_factors(crowded, length))
+    factors_found = sorted_factors(usual, shards, length, unit)
+    crowded = contexts.filter(F.col("classes") > most).drop("classes")
+    if unlike.filter(F.col("classes") > most).limit(1).count():
+        factors_found = factors_found.unionByName(counted_factors(crowded, length, unit))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), (F.col("left") + F.col("right")).alias("b")))
     none = F.array().cast(RANGE)
     judged = some.join(stage(factors_found, "factors"), ["hash", "context"], "left")
@@ -369,17 +387,22 @@ SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Struct
 
 
 def cut_repeats(docs: DataFrame, keep_first: bool = True, length: int = LENGTH, whole_chars: bool = False,
-                gram: int = GRAM, shard_contexts: int = SHARD_CONTEXTS, unit: int = BYTES) -> DataFrame:
+                gram: int = GRAM, shard_contexts: int = SHARD_CONTEXTS, unit: int = BYTES,
+                beside: DataFrame | None = None) -> DataFrame:
     """``docs`` with ``spans`` (maximal removed byte ranges) and ``kept_bytes`` (what is left).
 
     ``whole_chars`` leaves a character standing that a range covers only in part; so does a word with
-    ``unit=WORD``, where ``length`` and ``gram`` are eight bytes for each word.
+    ``unit=WORD``, where ``length`` and ``gram`` are eight bytes for each word.  ``beside`` (text_key
+    and more columns, one row for a text, only without ``keep_first``) goes to the documents with the
+    spans; other documents have nulls there.
     """
-    docs = docs.drop("spans", "kept_bytes").withColumn("text_key", F.xxhash64("text"))
-    spans = stage(repeated_spans(docs, keep_first, length, gram, shard_contexts, unit), "spans")
+    more = [c for c in beside.columns if c != "text_key"] if beside is not None else []
+    docs = docs.drop("spans", "kept_bytes", *more).withColumn("text_key", F.xxhash64("text"))
+    spans = repeated_spans(docs, keep_first, length, gram, shard_contexts, unit)
+    spans = stage(spans.join(beside, "text_key", "full") if more else spans, "spans")
     sketch = key_sketch(spans, "text_key")
     plain = maybe_in(docs, "text_key", sketch, negate=True)
-    other = spans.select(F.col("text_key").alias("_key"), F.col("doc_id").alias("_doc"), F.col("spans").alias("_spans"))
+    other = spans.select(F.col("text_key").alias("_key"), F.col("doc_id").alias("_doc"), F.col("spans").alias("_spans"), *more)
     match = F.col("text_key") == F.col("_key")
     if keep_first:
         match = match & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc"))
@@ -412,7 +435,7 @@ def cut_repeats(docs: DataFrame, keep_first: bool = True, length: int = LENGTH,
             give_back()
 
     untouched = plain.withColumns({"spans": F.array().cast(SPANS), "kept_bytes": F.coalesce("text", F.lit("")).cast("binary")})
-    return untouched.unionByName(joined.mapInArrow(run, out)).drop("text_key")
+    return untouched.unionByName(joined.mapInArrow(run, out), allowMissingColumns=True).drop("text_key")
 
 
 def _words_between(data: bytes, runs: list[list[int]]) -> list[list[int]]:
@@ -432,12 +455,29 @@ def _inner(data: bytes, start: int, end: int) -> list[int]:
     return [start, end]
 
 
+def repeated_words(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
+    """``(text_key, n_repeated_words)`` of the texts that have any: words in a run of ``words`` words that
+    also starts elsewhere, in the same text or another."""
+    found = repeated_spans(docs.withColumn("text_key", F.xxhash64("text")), False, words * WORD, unit=WORD)
+    zero = F.lit(0).cast("long")
+    covered = F.aggregate(
+        F.array_sort("spans"), F.struct(zero.alias("end"), zero.alias("size")),
+        lambda so_far, s: F.struct(F.greatest(so_far["end"], s["end"]).alias("end"),
+                                   (so_far["size"] + F.greatest(zero, s["end"] - F.greatest(so_far["end"], s["start"]))).alias("size")),
+        lambda so_far: (so_far["size"] / WORD).cast("long"))
+    return found.select("text_key", covered.alias("n_repeated_words"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_first=False)
+    """What is left without repeated strings of ``LENGTH`` bytes; beside it ``n_repeated_words``, which also
+    tells of repeated passages of ``PASSAGE_WORDS`` words with fewer bytes, which the removal leaves."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = cut_repeats(docs, keep_first=False, beside=repeated_words(docs))
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return cut.select("doc_id", n_bytes.alias("n_bytes"),
                       (n_bytes - F.octet_length("kept_bytes")).alias("n_removed"),
-                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"),
+                      F.coalesce("n_repeated_words", F.lit(0).cast("long")).alias("n_repeated_words"))
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
